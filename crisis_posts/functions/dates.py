@@ -16,34 +16,35 @@ MONTHS = (
     "august", "september", "october", "november", "december",
 )
 
-# Token positions of (year, month, day, clock) in the accepted layouts.
-LAYOUTS = (
-    (5, 1, 2, 3),  # Wed Sep 13 05:08:45 +0200 2017
-    (3, 2, 1, 4),  # Wed, 13 Sep 2017 05:08:45 +0200
-    (2, 1, 0, 3),  # 13 Sep 2017 05:08:45 +0200
-    (4, 1, 2, 3),  # Wed Sep 13 05:08:45 2017
+_MONTH = "(?=(?:" + "|".join(f"{m[:3]}(?:{m[3:]})?" for m in MONTHS) + ") )([a-z]{3})[a-z]*"
+_CLOCK = r"(\d{1,2}:\d{2}(?::\d{2})?)"
+
+# Wed Sep 13 05:08:45 +0200 2017, or Wed, 13 Sep 2017 05:08:45 +0200; the weekday and the
+# offset may be missing.
+POST_DATE = (
+    r"(?i)^\s*(?:[a-z]+,? +)?(?:"
+    rf"{_MONTH} +(\d{{1,2}}) +{_CLOCK} +(?:[+-]\d{{4}} +)?(\d{{4}})"
+    rf"|(\d{{1,2}}) +{_MONTH} +(\d{{4}}) +{_CLOCK}(?: .*)?"
+    r")\s*$"
 )
-ISO_SHAPE = r"^\d{4}-\d{2}-\d{1,2} \d{1,2}:\d{2}(:\d{2})?$"
+_YEAR_MONTH_DAY_CLOCK = "$4$7-$1$6-$2$5 $3$8"
 
 
 def parse_post_date(created_at: Column) -> Column:
     """Mail-style or post-style date text to ``timestamp_ntz``; null if unreadable."""
-    tokens = F.split(F.trim(created_at), "[, ]+")
-    months = []
-    for number, name in enumerate(MONTHS, start=1):
-        months += [F.lit(name), F.lit(f"{number:02d}")]
-        if name[:3] != name:
-            months += [F.lit(name[:3]), F.lit(f"{number:02d}")]
-    month_number = F.create_map(*months)
-
-    def read(layout: tuple[int, ...]) -> Column:
-        year, month, day, clock = (F.get(tokens, F.lit(i)) for i in layout)
-        iso = F.concat(
-            year, F.lit("-"), month_number[F.lower(month)], F.lit("-"), day, F.lit(" "), clock
-        )
-        return F.when(iso.rlike(ISO_SHAPE), iso.try_cast("timestamp_ntz"))
-
-    return F.coalesce(*[read(layout) for layout in LAYOUTS])
+    months = F.create_map(
+        *[F.lit(part) for n, name in enumerate(MONTHS, 1) for part in (name[:3], f"{n:02d}")]
+    )
+
+    def read(ordered: Column) -> Column:
+        month = months[F.lower(F.substring(ordered, 6, 3))]
+        iso = F.concat(F.left(ordered, F.lit(5)), month, F.substring(ordered, 9, 20))
+        # Text that does not match the pattern is left as it was.
+        return F.when(ordered != created_at, iso.try_cast("timestamp_ntz"))
+
+    # The lambda names the replaced text, so the pattern runs once and not at each use.
+    ordered = F.regexp_replace(created_at, POST_DATE, _YEAR_MONTH_DAY_CLOCK)
+    return F.get(F.transform(F.array(ordered), read), F.lit(0))
 
 
 def midnight(day: date | str) -> Column:

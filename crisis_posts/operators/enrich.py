@@ -1,8 +1,8 @@
 """Raw posts and classifier labels to the enriched table.
 
 One scan of the raw posts: every derived column is row-wise, so the only shuffle is the
-label join. Columns are reduced before it and texts are scored after it, when posts
-without a label are gone.
+label join. All other work, scoring included, comes before it: it then follows the input
+splits and not the keys, so an id that holds many posts delays nothing but the join.
 """
 
 from collections.abc import Callable, Mapping
@@ -87,13 +87,12 @@ def enrich_posts(
     if (lexicon is None) == (scorer is None):
         raise ValueError("give either a lexicon or a scorer")
     posts = derive_columns(drop_reposts(project_posts(raw)), states, phase_cuts)
-    labelled = join_labels(posts, labels)
     scored = (
-        with_lexicon_sentiment(labelled, lexicon)
+        with_lexicon_sentiment(posts, lexicon)
         if scorer is None
-        else with_scorer_sentiment(labelled, scorer)
+        else with_scorer_sentiment(posts, scorer)
     )
-    return scored.select(*(["id"] if keep_id else []), *ENRICHED.names)
+    return join_labels(scored, labels).select(*(["id"] if keep_id else []), *ENRICHED.names)
 
 
 def post_rejects(raw: DataFrame) -> DataFrame:

@@ -44,30 +44,42 @@ def means_by(posts: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
 def all_means(posts: DataFrame, labels: Sequence[str], states: Sequence[str]) -> DataFrame:
     """Overall, label and state means in one pass over the posts.
 
-    ``dimension`` is ``overall``, ``aidr_label`` or ``place_state``.
+    ``dimension`` is ``overall``, ``aidr_label`` or ``place_state``. Posts are summed once
+    per label and state; the three kinds of group are formed from those few sums.
     """
     _check([*labels, *states])
-    level = F.grouping_id()
+    sums = posts.groupBy(BY_LABEL, BY_STATE).agg(
+        *[
+            f(f"sentiment_{m}").alias(f"{f.__name__}_{m}")
+            for m in ("polarity", "subjectivity")
+            for f in (F.sum, F.count)
+        ]
+    )
+    level = F.col("level")
+    is_overall, is_label, is_state = level == 3, level == 1, level == 2
     grouped = (
-        posts.groupingSets([[BY_LABEL], [BY_STATE], []], BY_LABEL, BY_STATE)
-        .agg(level.alias("level"), *_mean_columns())
+        sums.groupingSets([[BY_LABEL], [BY_STATE], []], BY_LABEL, BY_STATE)
+        .agg(
+            F.grouping_id().alias("level"),
+            *[
+                F.try_divide(F.sum(f"sum_{m}"), F.sum(f"count_{m}")).alias(m)
+                for m in ("polarity", "subjectivity")
+            ],
+        )
+        .filter(
+            is_overall
+            | (is_label & F.col(BY_LABEL).isin(*labels))
+            | (is_state & F.col(BY_STATE).isin(*states))
+        )
         .select(
-            F.when(F.col("level") == 3, OVERALL)
-            .when(F.col("level") == 1, BY_LABEL)
-            .otherwise(BY_STATE)
-            .alias("dimension"),
-            F.when(F.col("level") == 3, OVERALL)
-            .when(F.col("level") == 1, F.col(BY_LABEL))
+            F.when(is_overall, OVERALL).when(is_label, BY_LABEL).otherwise(BY_STATE).alias("dimension"),
+            F.when(is_overall, OVERALL)
+            .when(is_label, F.col(BY_LABEL))
             .otherwise(F.col(BY_STATE))
             .alias("member"),
             "polarity",
             "subjectivity",
         )
-        .filter(
-            (F.col("dimension") == OVERALL)
-            | ((F.col("dimension") == BY_LABEL) & F.col("member").isin(*labels))
-            | ((F.col("dimension") == BY_STATE) & F.col("member").isin(*states))
-        )
     )
     rows = [(OVERALL, 0, OVERALL)]
     rows += [(BY_LABEL, i, label) for i, label in enumerate(labels)]

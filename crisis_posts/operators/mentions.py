@@ -27,21 +27,17 @@ def extract_mentions(
     an entity has several), else it is ``default_type``.
     """
     found = wordtable.with_word_values(
-        posts.filter(F.col(text).isNotNull()),
-        text,
-        names(F.col(text), pattern),
-        _types(gazetteer),
-        "entity",
-        "_names",
-        max_rows,
-    )
-    entities = F.transform(
+        posts.filter(F.col(text).isNotNull()).withColumn("_names", names(F.col(text), pattern)),
+        text, "_names", _types(gazetteer), "entity", "_types", max_rows,
+    )
+    entities = F.zip_with(
         "_names",
-        lambda n: F.struct(
-            n["word"].alias("entity"), F.coalesce(n["value"], F.lit(default_type)).alias("type")
+        "_types",
+        lambda name, kind: F.struct(
+            name.alias("entity"), F.coalesce(kind, F.lit(default_type)).alias("type")
         ),
     )
-    return found.withColumn("entities", entities).drop("_names")
+    return found.withColumn("entities", entities).drop("_names", "_types")
 
 
 def tag_mentions(
@@ -52,9 +48,15 @@ def tag_mentions(
 
 
 def explode_mentions(posts: DataFrame) -> DataFrame:
-    """One ``Entity``, ``Type`` row per mention; posts without mentions have none."""
-    return posts.select(F.explode("entities").alias("m")).select(
-        F.col("m.entity").alias("Entity"), F.col("m.type").alias("Type")
+    """One ``Entity``, ``Type`` row per mention; posts without mentions have none.
+
+    For a plain explode the optimizer adds a test for empty lists that runs the whole
+    extraction, or the tagger, a second time; dropping the outer rows does not.
+    """
+    return (
+        posts.select(F.posexplode_outer("entities").alias("position", "m"))
+        .filter(F.col("position").isNotNull())
+        .select(F.col("m.entity").alias("Entity"), F.col("m.type").alias("Type"))
     )
 
 

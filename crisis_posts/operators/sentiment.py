@@ -25,17 +25,20 @@ def with_lexicon_sentiment(
     folded = lexicon.dropna(subset=list(MEASURES)).withColumn("word", F.lower("word"))
     table = wordtable.unique_words(folded, "word", F.struct(*[F.avg(m).alias(m) for m in MEASURES]))
     found = wordtable.with_word_values(
-        posts, text, words(F.col(text)), table, "word", "_words", max_rows
-    ).withColumn("_hits", F.filter("_words", lambda w: w["value"].isNotNull()))
+        posts.withColumn("_words", words(F.col(text))),
+        text, "_words", table, "word", "_values", max_rows,
+    ).withColumn("_hits", F.filter("_values", F.isnotnull))
 
     def mean(measure: str) -> Column:
-        total = F.aggregate("_hits", F.lit(0.0), lambda acc, w: acc + w["value"][measure])
+        total = F.aggregate("_hits", F.lit(0.0), lambda sum_, hit: sum_ + hit[measure])
         return (
             F.when(F.size("_hits") > 0, total / F.size("_hits"))
             .when(F.col(text).isNotNull(), 0.0)
         )
 
-    return found.withColumns({f"sentiment_{m}": mean(m) for m in MEASURES}).drop("_words", "_hits")
+    return found.withColumns({f"sentiment_{m}": mean(m) for m in MEASURES}).drop(
+        "_words", "_values", "_hits"
+    )
 
 
 def with_scorer_sentiment(

@@ -2,8 +2,8 @@
 
 A table of checked size travels with the tasks as one constant: an array of small
 maps, a word's slot being its hash, so a look-up does not scan the table. Posts are
-then scored in the scan that reads them. A larger table is joined instead: only the
-distinct (text, word) pairs are shuffled, and each text gets a map of its own hits.
+then scored in the task that reads them. A larger table is joined to the words instead,
+by whatever join its size asks for.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -21,22 +21,22 @@ def unique_words(table: DataFrame, word: str, value: Column) -> DataFrame:
 def with_word_values(
     posts: DataFrame,
     text: str,
-    words: Column,
+    words: str,
     table: DataFrame,
     word: str,
     out: str,
     max_rows: int = MAX_ROWS,
     max_bytes: int = MAX_BYTES,
 ) -> DataFrame:
-    """Add ``out``: an array of struct(word, value) parallel to ``words``.
+    """Add the array ``out``, parallel to the array ``words``: each word's value or null.
 
-    ``table`` holds unique ``word`` and ``value`` columns; value is null for a word it
-    lacks. ``words`` must be computed from the column ``text`` alone.
+    ``table`` holds unique ``word`` and ``value`` columns. ``words`` must have been
+    computed from the column ``text`` alone.
     """
     rows = _rows_if_small(table, word, max_rows, max_bytes)
     if rows is None:
         return _joined(posts, text, words, table, word, out)
-    slots = max(rows, 1)
+    slots = 1 << (4 * rows).bit_length()
     return (
         posts.withColumn("_slots", _constant(table, word, slots))
         .withColumn(out, _look_up(words, F.col("_slots"), slots))
@@ -45,50 +45,54 @@ def with_word_values(
 
 
 def _rows_if_small(table: DataFrame, word: str, max_rows: int, max_bytes: int) -> int | None:
+    row_bytes = F.octet_length(F.to_json(F.struct(word, "value")))
     size = (
         table.limit(max_rows + 1)
-        .agg(F.count("*").alias("n"), F.sum(F.octet_length(word)).alias("b"))
+        .agg(F.count("*").alias("rows"), F.sum(row_bytes).alias("bytes"))
         .first()
     )
-    return size.n if size.n <= max_rows and (size.b or 0) <= max_bytes else None
+    return size.rows if size.rows <= max_rows and (size.bytes or 0) <= max_bytes else None
 
 
 def _slot(word: Column, slots: int) -> Column:
-    return F.pmod(F.hash(word), F.lit(slots))
+    """The hash of a word cut to ``slots``, a power of two."""
+    return F.hash(word).bitwiseAND(F.lit(slots - 1))
 
 
-def _look_up(words: Column, maps: Column, slots: int) -> Column:
-    return F.transform(
-        words,
-        lambda w: F.struct(w.alias("word"), F.get(maps, _slot(w, slots))[w].alias("value")),
-    )
+def _look_up(words: str, maps: Column, slots: int) -> Column:
+    return F.transform(words, lambda w: F.get(maps, _slot(w, slots))[w])
 
 
 def _constant(table: DataFrame, word: str, slots: int) -> Column:
-    """The whole (small) table as a scalar subquery: maps ordered by slot."""
-    filled = table.groupBy(_slot(F.col(word), slots).alias("slot")).agg(_map(word).alias("m"))
+    """The whole (small) table as a scalar subquery: an array of maps, one per slot."""
+    filled = table.groupBy(_slot(F.col(word), slots).alias("slot")).agg(
+        F.collect_list(F.struct(word, "value")).alias("entries")
+    )
     every = table.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
-    ordered = F.array_sort(F.collect_list(F.struct("slot", "m")), lambda a, b: a.slot - b.slot)
-    return every.join(filled, "slot", "left").agg(F.transform(ordered, lambda s: s.m)).scalar()
-
-
-def _map(word: str) -> Column:
-    return F.map_from_entries(F.collect_list(F.struct(word, "value")))
+    by_slot = F.sort_array(F.collect_list(F.struct("slot", "entries")))
+    maps = F.transform(by_slot, lambda s: F.map_from_entries(s.entries))
+    return every.join(filled, "slot", "left").agg(maps).scalar()
 
 
 def _joined(
-    posts: DataFrame, text: str, words: Column, table: DataFrame, word: str, out: str
+    posts: DataFrame, text: str, words: str, table: DataFrame, word: str, out: str
 ) -> DataFrame:
-    digest = F.sha2(F.col(text), 256)
-    pairs = posts.select(
-        digest.alias("_digest"), F.explode(F.array_distinct(words)).alias(word)
-    ).distinct()
-    hits = pairs.join(table, word).groupBy("_digest").agg(_map(word).alias("_hits"))
-    none = F.create_map().cast(hits.schema["_hits"].dataType)
-    maps = F.array(F.coalesce("_hits", none))
+    """The values of each distinct text, known by its digest, in the order of its words.
+
+    The outer explode keeps the optimizer from testing for empty arrays first, which
+    would compute the words twice. Copies of a text fold into one set on the map side.
+    """
+    keyed = posts.withColumn("_digest", F.unhex(F.sha2(F.col(text), 256)))
+    in_order = F.sort_array(F.collect_set(F.struct("position", "value")))
+    values = (
+        keyed.select("_digest", F.posexplode_outer(words).alias("position", word))
+        .filter(F.col("position").isNotNull())
+        .join(table, word, "left")
+        .groupBy("_digest")
+        .agg(F.transform(in_order, lambda x: x["value"]).alias(out))
+    )
     return (
-        posts.withColumn("_digest", digest)
-        .join(hits, "_digest", "left")
-        .withColumn(out, _look_up(words, maps, 1))
-        .drop("_digest", "_hits")
+        keyed.join(values, "_digest", "left")
+        .withColumn(out, F.coalesce(out, F.array()))
+        .drop("_digest")
     )

@@ -32,4 +32,5 @@ def read_enriched(
 ) -> DataFrame:
     """JSON output leaves null fields out and dates as text, so the schema is given."""
     schema = T.StructType([T.StructField("id", T.LongType()), *ENRICHED]) if with_id else ENRICHED
-    return spark.read.schema(schema).format(fmt).load(path)
+    # A partition column would come last.
+    return spark.read.schema(schema).format(fmt).load(path).select(*schema.names)
