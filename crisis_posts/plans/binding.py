@@ -144,13 +144,18 @@ def enriched_posts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame
     return posts.withColumns(derived).select("id", *columns)
 
 
-def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_posts(
+    spark: SparkSession, sf_dir: str, wanted: set[str] = FLAGS | POINT | PLACE
+) -> DataFrame:
     """The shape ``read_raw_posts`` gives: nested, dates as text, reposts included.
 
     Sign-ups write their date in mail style, errors write none that can be read and
     purchases are reposts. Posts of good quality are truncated and hold a full text.
+    Fields from the sides that ``wanted`` does not touch are null.
     """
-    posts = _joined(spark, sf_dir, FLAGS | POINT | PLACE)
+    posts = _joined(spark, sf_dir, wanted)
+    missing = (FLAGS | POINT | PLACE) - set(posts.columns)
+    posts = posts.withColumns({name: F.lit(None).cast(_side_type(name)) for name in missing})
     weekday_month_day = F.date_format("date", "EEE MMM dd")
     clock = F.date_format("date", "HH:mm:ss")
     created_at = (
@@ -191,6 +196,12 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _side_type(name: str) -> str:
+    if name in FLAGS:
+        return "boolean"
+    return "double" if name.endswith("itude") else "string"
+
+
 HEADER = "id\tdate\taidr_label\taidr_confidence"
 
 

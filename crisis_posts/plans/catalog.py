@@ -1,6 +1,6 @@
 """The registered queries: one per operator, each over whole test tables.
 
-Means are rounded to six places, since summation order differs between engines, and
+Means are rounded to eight places, since summation order differs between engines, and
 dates are given as text to the second.
 """
 
@@ -30,11 +30,11 @@ def _seconds(moment: str) -> Column:
 
 
 def _rounded(table: DataFrame, *columns: str) -> DataFrame:
-    return table.withColumns({name: F.round(name, 6) for name in columns})
+    return table.withColumns({name: F.round(name, 8) for name in columns})
 
 
-def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = enrich.project_posts(binding.raw_posts(spark, sf_dir))
+def _derived(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
+    posts = enrich.project_posts(binding.raw_posts(spark, sf_dir, wanted))
     return enrich.derive_columns(posts, binding.STATES, binding.PHASE_CUTS)
 
 
@@ -72,32 +72,32 @@ def project_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def drop_reposts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.drop_reposts(binding.raw_posts(spark, sf_dir)).select("id")
+    return enrich.drop_reposts(binding.raw_posts(spark, sf_dir, set())).select("id")
 
 
 @register
 def effective_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(spark, sf_dir).select("id", "text")
+    return _derived(spark, sf_dir, binding.FLAGS).select("id", "text")
 
 
 @register
 def parse_post_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(spark, sf_dir).select("id", _seconds("date"))
+    return _derived(spark, sf_dir, set()).select("id", _seconds("date"))
 
 
 @register
 def place_point(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(spark, sf_dir).select("id", "place_latitude", "place_longitude")
+    return _derived(spark, sf_dir, binding.PLACE).select("id", "place_latitude", "place_longitude")
 
 
 @register
 def exact_point(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(spark, sf_dir).select("id", "longitude", "latitude")
+    return _derived(spark, sf_dir, binding.POINT).select("id", "longitude", "latitude")
 
 
 @register
 def place_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(spark, sf_dir).select("id", "place_name", "place_state")
+    return _derived(spark, sf_dir, binding.PLACE).select("id", "place_name", "place_state")
 
 
 @register
@@ -133,9 +133,8 @@ def enrich_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def reject_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.post_rejects(binding.raw_posts(spark, sf_dir)).select(
-        "id", "created_at", "reason"
-    )
+    raw = binding.raw_posts(spark, sf_dir, binding.FLAGS)
+    return enrich.post_rejects(raw).select("id", "created_at", "reason")
 
 
 # Sentiment and mentions

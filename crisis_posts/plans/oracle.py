@@ -129,8 +129,8 @@ select entity, type, cast(sum(n) as bigint) as total_count from runs group by al
 
 _SCORES = f"""
 with docs as (select doc_id as id, text from documents), {_scored("docs")}
-select id as doc_id, round(polarity, 6) as sentiment_polarity,
-  round(subjectivity, 6) as sentiment_subjectivity
+select id as doc_id, round(polarity, 8) as sentiment_polarity,
+  round(subjectivity, 8) as sentiment_subjectivity
 from scored
 """
 
@@ -156,7 +156,7 @@ means as (
   select {column}, avg(sentiment_polarity) as p, avg(sentiment_subjectivity) as s
   from posts group by 1
 )
-select position, member as {column}, round(p, 6) as polarity, round(s, 6) as subjectivity
+select position, member as {column}, round(p, 8) as polarity, round(s, 8) as subjectivity
 from domain left join means on {column} = member
 """
 
@@ -185,7 +185,7 @@ grouped as (
   from chosen group by 2
 ),
 means as (
-  select dimension, position, member, round(p, 6) as polarity, round(s, 6) as subjectivity
+  select dimension, position, member, round(p, 8) as polarity, round(s, 8) as subjectivity
   from domain left join grouped using (dimension, member)
 )"""
 
@@ -211,7 +211,7 @@ from documents d join label_rows r on r.id = d.doc_id""",
     "enrich_posts": f"""with {_RAW}, {_LABEL_ROWS}, {_scored("derived")}
 select d.id, d.name, d.screen_name, d.verified, d.text, d.possibly_sensitive, d.favorite_count,
   strftime(d.date, '%Y-%m-%d %H:%M:%S') as date,
-  round(s.polarity, 6) as sentiment_polarity, round(s.subjectivity, 6) as sentiment_subjectivity,
+  round(s.polarity, 8) as sentiment_polarity, round(s.subjectivity, 8) as sentiment_subjectivity,
   r.aidr_label, d.place_latitude, d.place_longitude, d.place_name, d.longitude, d.latitude,
   d.place_state,
   cast(case when d.date < timestamp '2024-01-02 00:00:00' then 0
@@ -255,8 +255,8 @@ select id, aidr_label, place_state, date_text as date, phase
 from posts where aidr_label = 'click' and phase = 0 and place_state in ('N1', 'N2', 'N6', 'N11')""",
     "selection_count": f"with {_BASE} select count(*) as n from posts where phase = 0",
     "mean_overall": f"""with {_BASE}
-select round(avg(sentiment_polarity), 6) as polarity,
-  round(avg(sentiment_subjectivity), 6) as subjectivity from posts where phase = 1""",
+select round(avg(sentiment_polarity), 8) as polarity,
+  round(avg(sentiment_subjectivity), 8) as subjectivity from posts where phase = 1""",
     "mean_by_label": _means_by("aidr_label", _LABEL_DOMAIN),
     "mean_by_state": _means_by("place_state", _STATE_DOMAIN),
     "mean_all": f"{_MEAN_ALL} select * from means",

@@ -1,5 +1,6 @@
 """Every registered query against its SQL, row by row."""
 
+import os
 from pathlib import Path
 
 import duckdb
@@ -7,7 +8,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
