@@ -9,6 +9,7 @@ from datetime import date, datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from crisis_posts.functions.literals import text_map
 from crisis_posts.schemas import PHASE_CUTS
 
 MONTHS = (
@@ -32,9 +33,7 @@ _YEAR_MONTH_DAY_CLOCK = "$4$7-$1$6-$2$5 $3$8"
 
 def parse_post_date(created_at: Column) -> Column:
     """Mail-style or post-style date text to ``timestamp_ntz``; null if unreadable."""
-    months = F.create_map(
-        *[F.lit(part) for n, name in enumerate(MONTHS, 1) for part in (name[:3], f"{n:02d}")]
-    )
+    months = text_map({name[:3]: f"{number:02d}" for number, name in enumerate(MONTHS, 1)})
 
     def read(ordered: Column) -> Column:
         month = months[F.lower(F.substring(ordered, 6, 3))]

@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from crisis_posts.functions.literals import text_map
 from crisis_posts.schemas import US_STATES
 
 
@@ -33,9 +34,8 @@ def place_state(
     A state-level place is looked up by name in ``states``. A city's second name
     part is taken as it stands, unchecked.
     """
-    names = [F.lit(text) for pair in states.items() for text in pair]
     parts = F.split(place_name, ", ")
-    by_type = F.when(
-        place_type == "admin", F.create_map(*names)[F.get(parts, F.lit(0))]
-    ).when(place_type == "city", F.get(parts, F.lit(1)))
+    by_type = F.when(place_type == "admin", text_map(states)[F.get(parts, F.lit(0))]).when(
+        place_type == "city", F.get(parts, F.lit(1))
+    )
     return F.when(country_code == "US", by_type)

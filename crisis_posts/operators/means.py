@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crisis_posts.functions import literals
+
 # A domain is a list written by hand; its group means are joined as a broadcast.
 MAX_DOMAIN = 10_000
 
@@ -31,8 +33,10 @@ def means_by(posts: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
     """
     _check(domain)
     grouped = posts.filter(F.col(column).isin(*domain)).groupBy(column).agg(*_mean_columns())
-    members = posts.sparkSession.range(1).select(
-        F.posexplode(F.array(*[F.lit(m).cast("string") for m in domain])).alias("position", column)
+    members = literals.rows(
+        posts.sparkSession,
+        [{"position": i, column: member} for i, member in enumerate(domain)],
+        f"position int, `{column}` string",
     )
     return (
         members.join(F.broadcast(grouped), column, "left")
@@ -81,22 +85,15 @@ def all_means(posts: DataFrame, labels: Sequence[str], states: Sequence[str]) ->
             "subjectivity",
         )
     )
-    rows = [(OVERALL, 0, OVERALL)]
-    rows += [(BY_LABEL, i, label) for i, label in enumerate(labels)]
-    rows += [(BY_STATE, i, state) for i, state in enumerate(states)]
-    members = posts.sparkSession.range(1).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(d).alias("dimension"),
-                        F.lit(i).alias("position"),
-                        F.lit(m).cast("string").alias("member"),
-                    )
-                    for d, i, m in rows
-                ]
-            )
-        )
+    groups = [(OVERALL, [OVERALL]), (BY_LABEL, labels), (BY_STATE, states)]
+    members = literals.rows(
+        posts.sparkSession,
+        [
+            {"dimension": dimension, "position": i, "member": member}
+            for dimension, domain in groups
+            for i, member in enumerate(domain)
+        ],
+        "dimension string, position int, member string",
     )
     return members.join(F.broadcast(grouped), ["dimension", "member"], "left").select(
         "dimension", "position", "member", "polarity", "subjectivity"

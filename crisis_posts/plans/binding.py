@@ -6,12 +6,10 @@ place. Side tables have unique keys, so a query that does not read a side's colu
 leaves that join out.
 """
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crisis_posts.functions import dates, places
+from crisis_posts.functions import dates, literals, places
 
 # 25 nations stand for the states; one is left out as the unknown name.
 STATES = {f"NATION_{i}": f"N{i}" for i in range(25) if i != 21}
@@ -20,12 +18,17 @@ LABELS = ("click", "error", "nosuch", "purchase", "signup", "view")
 STATE_DOMAIN = tuple(f"N{i}" for i in range(26))
 
 LEXICON = (
-    ("the", 0.5, 0.4),
-    ("of", -0.6, 0.9),
-    ("and", 0.1, 0.2),
-    ("in", -0.2, 0.5),
+    {"word": "the", "polarity": 0.5, "subjectivity": 0.4},
+    {"word": "of", "polarity": -0.6, "subjectivity": 0.9},
+    {"word": "and", "polarity": 0.1, "subjectivity": 0.2},
+    {"word": "in", "polarity": -0.2, "subjectivity": 0.5},
+)
+GAZETTEER = (
+    {"entity": "The", "type": "ART"},
+    {"entity": "Of", "type": "PREP"},
+    {"entity": "Ci", "type": "LOC"},
+    {"entity": "Orre", "type": "PER"},
 )
-GAZETTEER = (("The", "ART"), ("Of", "PREP"), ("Ci", "LOC"), ("Orre", "PER"))
 RULES = (
     ("The", "(?i)^(the|of)$", "WORD"),
     ("Orre", "(?i)^orre$", "NAME"),
@@ -44,16 +47,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    return _literal_rows(spark, LEXICON, ("word", "polarity", "subjectivity"))
+    return literals.rows(spark, LEXICON, "word string, polarity double, subjectivity double")
 
 
 def gazetteer(spark: SparkSession) -> DataFrame:
-    return _literal_rows(spark, GAZETTEER, ("entity", "type"))
-
-
-def _literal_rows(spark: SparkSession, rows: Iterable[tuple], names: tuple[str, ...]) -> DataFrame:
-    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    return literals.rows(spark, GAZETTEER, "entity string, type string")
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """Golden edge cases of the enrichment: hand-written posts to derived columns."""
 
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
+from email.utils import parsedate_to_datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +97,27 @@ def test_date_layouts(spark, zone, text, expected):
     assert row.d == expected
 
 
+def test_dates_equal_the_standard_mail_parser(spark):
+    chance = random.Random(5)
+    layouts = (
+        "%a %b %d %H:%M:%S {} %Y",
+        "%a, %d %b %Y %H:%M:%S {}",
+        "%d %b %Y %H:%M:%S {}",
+        "%a, %d %B %Y %H:%M:%S {}",
+        "%a %b %d %H:%M:%S %Y",
+        "%b %d %H:%M %Y",
+    )
+    texts = []
+    for _ in range(600):
+        moment = datetime(2000, 1, 1) + timedelta(seconds=chance.randrange(36 * 365 * 86_400))
+        offset = chance.choice(["+0000", "-0600", "+0530", "+1400"])
+        texts.append(moment.strftime(chance.choice(layouts)).format(offset))
+    table = spark.createDataFrame([(text,) for text in texts], "t string")
+    found = table.select("t", parse_post_date(F.col("t")).alias("d")).collect()
+    for row in found:
+        assert row.d == parsedate_to_datetime(row.t).replace(tzinfo=None), row.t
+
+
 def test_phase_cuts_are_parameters(spark):
     table = spark.sql(
         "select explode(array(timestamp_ntz'2020-01-01 23:59:59', timestamp_ntz'2020-01-02',"

@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pandas as pd
 import pytest
@@ -162,8 +163,10 @@ def test_plugged_in_scorer_and_tagger(spark):
         return pd.DataFrame({"polarity": size / 10, "subjectivity": size / 100})
 
     @F.pandas_udf(MENTIONS)
-    def tagger(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"entity": w, "type": "W"} for w in t.split()])
+    def tagger(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        kind = "W"  # where a model would be loaded, once for each task
+        for texts in batches:
+            yield texts.map(lambda t: [{"entity": w, "type": kind} for w in t.split()])
 
     posts = spark.createDataFrame([(1, "irma irma x"), (2, None), (3, "")], "id long, text string")
     scored = sentiment.with_scorer_sentiment(posts.filter("text is not null"), scorer)
