@@ -16,6 +16,7 @@ def main() -> None:
         enrich.add_argument(name)
     enrich.add_argument("--fmt", choices=("parquet", "json"), default="parquet")
     enrich.add_argument("--by-phase", action="store_true")
+    enrich.add_argument("--by-date", action="store_true")
     enrich.add_argument("--keep-id", action="store_true")
     enrich.add_argument("--rejects")
 

@@ -20,6 +20,7 @@ def enrichment_job(
     output: str,
     fmt: str = "parquet",
     by_phase: bool = False,
+    by_date: bool = False,
     keep_id: bool = False,
     rejects: str | None = None,
 ) -> None:
@@ -31,7 +32,9 @@ def enrichment_job(
         tables.read_lexicon(spark, lexicon),
         keep_id=keep_id,
     )
-    post_files.write_enriched(enriched, output, fmt, ["phase"] if by_phase else [])
+    post_files.write_enriched(
+        enriched, output, fmt, ["phase"] if by_phase else [], ["date"] if by_date else []
+    )
     if rejects:
         enrich.post_rejects(raw).write.mode("overwrite").json(rejects)
 

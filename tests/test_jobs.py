@@ -31,7 +31,7 @@ def test_posts_to_totals(spark, run, tmp_path, fmt):
     out = tmp_path / "output"
     run(
         "enrich", raw, labels, tmp_path / "lexicon.csv", out,
-        "--fmt", fmt, "--by-phase", "--rejects", tmp_path / "rejects",
+        "--fmt", fmt, "--by-phase", "--by-date", "--rejects", tmp_path / "rejects",
     )
     posts = read_enriched(spark, str(out), fmt)
     assert posts.count() == 8

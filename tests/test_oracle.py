@@ -15,6 +15,15 @@ TABLES = (
 )
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
@@ -38,7 +47,9 @@ def test_every_query_has_sql():
 def test_query_equals_sql(spark, duck, name):
     ours = queries()[name](spark, SF_DIR)
     relation = duck.sql(oracle_sql()[name])
-    assert sorted(ours.columns) == sorted(relation.columns)
+    assert {name: SQL_TYPES[kind] for name, kind in ours.dtypes} == dict(
+        zip(relation.columns, map(str, relation.types))
+    )
     expected = rows_by_name(relation.columns, relation.fetchall())
     found = rows_by_name(ours.columns, [tuple(row) for row in ours.collect()])
     assert len(found) == len(expected) > 0

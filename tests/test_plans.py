@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from crisis_posts.operators import enrich, mentions
+from crisis_posts.operators import enrich, mentions, sentiment
 from crisis_posts.operators.selection import PostQuery
 from crisis_posts.plans import binding
 from crisis_posts.sources.posts import read_enriched, read_raw_posts, write_enriched
@@ -113,6 +113,41 @@ def test_hot_id_is_split_by_the_adaptive_join(spark, settings):
     assert found == Counter({(i, str(i % 4)): k for i, k in expected.items()})
 
 
+def test_hot_text_scores_alike_on_both_paths(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1", shuffle__partitions="16")
+    posts = spark.range(0, 20_000, 1, 8).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, "the storm of the year, the worst of all")
+        .when(F.col("id") % 10 == 1, None)
+        .otherwise(F.concat(F.lit("in the "), F.sha2(F.col("id").cast("string"), 256)))
+        .alias("text"),
+    )
+    lexicon = binding.lexicon(spark)
+    constant = sentiment.with_lexicon_sentiment(posts, lexicon)
+    joined = sentiment.with_lexicon_sentiment(posts, lexicon, max_rows=0)
+    assert "SortMergeJoin" in initial_plan(joined) and "Join" not in initial_plan(constant).split("Subquery")[0]
+    both = constant.join(
+        joined.select("id", F.col("sentiment_polarity").alias("p"), F.col("sentiment_subjectivity").alias("s")),
+        "id",
+    )
+    assert both.count() == 20_000
+    far = (F.abs(F.col("p") - F.col("sentiment_polarity")) > 1e-12) | (
+        F.abs(F.col("s") - F.col("sentiment_subjectivity")) > 1e-12
+    )
+    assert both.filter(far).count() == 0
+    assert joined.filter("sentiment_polarity is null").count() == posts.filter("text is null").count()
+
+
+def test_rows_are_sorted_within_a_file(spark, stored, tmp_path):
+    path = str(tmp_path / "sorted")
+    write_enriched(stored.repartition(2, "name"), path, partition_by=["phase"], sort_by=["date"])
+    files = [str(file) for file in (tmp_path / "sorted").glob("*/*.parquet")]
+    assert len(files) >= 2
+    for file in files:
+        dates = [row.date for row in spark.read.parquet(file).select("date").collect()]
+        assert dates == sorted(dates, key=lambda d: (d is not None, d))
+
+
 def test_hot_name_is_counted_before_the_shuffle(spark):
     n = 30_000
     posts = spark.range(0, n, 1, 8).select(
