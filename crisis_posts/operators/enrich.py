@@ -104,6 +104,6 @@ def post_rejects(raw: DataFrame) -> DataFrame:
         .when(text.isNull(), "no text")
         .when(dates.parse_post_date(F.col("created_at")).isNull(), "unreadable date")
     )
-    return kept.select("id", text.alias("text"), "created_at", CORRUPT, reason.alias("reason")).filter(
-        F.col("reason").isNotNull()
-    )
+    return kept.select(
+        "id", text.alias("text"), "created_at", CORRUPT, reason.alias("reason")
+    ).filter(F.col("reason").isNotNull())

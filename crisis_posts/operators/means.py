@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from crisis_posts.functions import literals
 
-# A domain is a list written by hand; its group means are joined as a broadcast.
-MAX_DOMAIN = 10_000
+# The means of a domain have a row per member at most; up to here they are broadcast.
+MAX_BROADCAST = 10_000
 
 OVERALL, BY_LABEL, BY_STATE = "overall", "aidr_label", "place_state"
 
@@ -28,10 +28,8 @@ def overall_means(posts: DataFrame) -> DataFrame:
 def means_by(posts: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
     """One row per domain member, in its order; null means where it has no posts.
 
-    One aggregation for the whole domain. It keeps at most one row per member, so its
-    result has a known bound and is broadcast to the domain.
+    One aggregation for the whole domain, which keeps at most one row per member.
     """
-    _check(domain)
     grouped = posts.filter(F.col(column).isin(*domain)).groupBy(column).agg(*_mean_columns())
     members = literals.rows(
         posts.sparkSession,
@@ -39,7 +37,7 @@ def means_by(posts: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
         f"position int, `{column}` string",
     )
     return (
-        members.join(F.broadcast(grouped), column, "left")
+        members.join(_bounded(grouped, len(domain)), column, "left")
         .select("position", column, "polarity", "subjectivity")
         .orderBy("position")
     )
@@ -51,13 +49,10 @@ def all_means(posts: DataFrame, labels: Sequence[str], states: Sequence[str]) ->
     ``dimension`` is ``overall``, ``aidr_label`` or ``place_state``. Posts are summed once
     per label and state; the three kinds of group are formed from those few sums.
     """
-    _check([*labels, *states])
+    measures = ("polarity", "subjectivity")
     sums = posts.groupBy(BY_LABEL, BY_STATE).agg(
-        *[
-            f(f"sentiment_{m}").alias(f"{f.__name__}_{m}")
-            for m in ("polarity", "subjectivity")
-            for f in (F.sum, F.count)
-        ]
+        *[F.sum(f"sentiment_{m}").alias(f"sum_{m}") for m in measures],
+        *[F.count(f"sentiment_{m}").alias(f"count_{m}") for m in measures],
     )
     level = F.col("level")
     is_overall, is_label, is_state = level == 3, level == 1, level == 2
@@ -67,7 +62,7 @@ def all_means(posts: DataFrame, labels: Sequence[str], states: Sequence[str]) ->
             F.grouping_id().alias("level"),
             *[
                 F.try_divide(F.sum(f"sum_{m}"), F.sum(f"count_{m}")).alias(m)
-                for m in ("polarity", "subjectivity")
+                for m in measures
             ],
         )
         .filter(
@@ -76,7 +71,10 @@ def all_means(posts: DataFrame, labels: Sequence[str], states: Sequence[str]) ->
             | (is_state & F.col(BY_STATE).isin(*states))
         )
         .select(
-            F.when(is_overall, OVERALL).when(is_label, BY_LABEL).otherwise(BY_STATE).alias("dimension"),
+            F.when(is_overall, OVERALL)
+            .when(is_label, BY_LABEL)
+            .otherwise(BY_STATE)
+            .alias("dimension"),
             F.when(is_overall, OVERALL)
             .when(is_label, F.col(BY_LABEL))
             .otherwise(F.col(BY_STATE))
@@ -95,11 +93,11 @@ def all_means(posts: DataFrame, labels: Sequence[str], states: Sequence[str]) ->
         ],
         "dimension string, position int, member string",
     )
-    return members.join(F.broadcast(grouped), ["dimension", "member"], "left").select(
-        "dimension", "position", "member", "polarity", "subjectivity"
+    bounded = _bounded(grouped, 1 + len(labels) + len(states))
+    return members.join(bounded, ["dimension", "member"], "left").select(
+        "dimension", "position", "member", *measures
     )
 
 
-def _check(domain: Sequence[str]) -> None:
-    if not 0 < len(domain) <= MAX_DOMAIN:
-        raise ValueError(f"a domain has 1 to {MAX_DOMAIN} members, got {len(domain)}")
+def _bounded(grouped: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(grouped) if rows <= MAX_BROADCAST else grouped

@@ -164,7 +164,11 @@ def raw_posts(
         .when(F.col("aidr_label") == "error", F.concat(F.lit("about "), weekday_month_day))
         .otherwise(
             F.concat(
-                weekday_month_day, F.lit(" "), clock, F.lit(" +0200 "), F.date_format("date", "yyyy")
+                weekday_month_day,
+                F.lit(" "),
+                clock,
+                F.lit(" +0200 "),
+                F.date_format("date", "yyyy"),
             )
         )
     )

@@ -112,10 +112,12 @@ def test_all_means_equal_the_single_ones(query):
         assert len(found) == 6
 
 
-def test_domain_is_checked(query):
-    for domain in ([], ["x"] * (means.MAX_DOMAIN + 1)):
-        with pytest.raises(ValueError):
-            query.means_by("aidr_label", domain)
+def test_domains_of_any_length(query):
+    assert query.mean_label_polarity([]) == []
+    assert len(query.all_means([], []).collect()) == 1
+    long = [f"x{i}" for i in range(means.MAX_BROADCAST)] + ["a"]
+    assert query.mean_label_polarity(long)[-1] == pytest.approx([2.0, 0.2])
+    assert "hint" not in query.means_by("aidr_label", long)._jdf.queryExecution().analyzed().toString()
 
 
 def test_mean_of_one_label_equals_its_selection(spark):
