@@ -26,10 +26,16 @@ def extract_mentions(
     Names match ``pattern``; their type comes from the gazetteer (the least type where
     an entity has several), else it is ``default_type``.
     """
-    found = wordtable.with_word_values(
-        posts.filter(F.col(text).isNotNull()).withColumn("_names", names(F.col(text), pattern)),
-        text, "_names", _types(gazetteer), "entity", "_types", max_rows,
-    )
+    named = posts.filter(F.col(text).isNotNull()).withColumn(
+        "_names", names(F.col(text), pattern)
+    )
+    types = _types(gazetteer)
+    rows = wordtable.rows_if_small(types, "entity", max_rows)
+    found = (
+        wordtable.with_joined_values(named, text, "_names", types, "entity", "_types")
+        if rows is None
+        else wordtable.with_constant_values(named, "_names", types, "entity", rows, "_types")
+    )
     entities = F.zip_with(
         "_names",
         "_types",

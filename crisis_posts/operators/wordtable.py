@@ -2,8 +2,11 @@
 
 A table of checked size travels with the tasks as one constant: an array of small
 maps, a word's slot being its hash, so a look-up does not scan the table. Posts are
-then scored in the task that reads them. A larger table is joined to the words instead,
-by whatever join its size asks for.
+then scored in the task that reads them. A larger table is joined to the exploded words
+instead, by whatever join its size asks for.
+
+The explodes are outer ones: for an inner one the optimizer first tests for empty arrays,
+which computes the words twice.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -18,33 +21,10 @@ def unique_words(table: DataFrame, word: str, value: Column) -> DataFrame:
     return table.filter(F.col(word).isNotNull()).groupBy(word).agg(value.alias("value"))
 
 
-def with_word_values(
-    posts: DataFrame,
-    text: str,
-    words: str,
-    table: DataFrame,
-    word: str,
-    out: str,
-    max_rows: int = MAX_ROWS,
-    max_bytes: int = MAX_BYTES,
-) -> DataFrame:
-    """Add the array ``out``, parallel to the array ``words``: each word's value or null.
-
-    ``table`` holds unique ``word`` and ``value`` columns. ``words`` must have been
-    computed from the column ``text`` alone.
-    """
-    rows = _rows_if_small(table, word, max_rows, max_bytes)
-    if rows is None:
-        return _joined(posts, text, words, table, word, out)
-    slots = 1 << (4 * rows).bit_length()
-    return (
-        posts.withColumn("_slots", _constant(table, word, slots))
-        .withColumn(out, _look_up(words, F.col("_slots"), slots))
-        .drop("_slots")
-    )
-
-
-def _rows_if_small(table: DataFrame, word: str, max_rows: int, max_bytes: int) -> int | None:
+def rows_if_small(
+    table: DataFrame, word: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
+) -> int | None:
+    """The number of rows, counted, of a table that may travel with the tasks; else None."""
     row_bytes = F.octet_length(F.to_json(F.struct(word, "value")))
     size = (
         table.limit(max_rows + 1)
@@ -54,35 +34,30 @@ def _rows_if_small(table: DataFrame, word: str, max_rows: int, max_bytes: int) -
     return size.rows if size.rows <= max_rows and (size.bytes or 0) <= max_bytes else None
 
 
-def _slot(word: Column, slots: int) -> Column:
-    """The hash of a word cut to ``slots``, a power of two."""
-    return F.hash(word).bitwiseAND(F.lit(slots - 1))
-
-
-def _look_up(words: str, maps: Column, slots: int) -> Column:
-    return F.transform(words, lambda w: F.get(maps, _slot(w, slots))[w])
-
+def with_constant_values(
+    posts: DataFrame, words: str, table: DataFrame, word: str, rows: int, out: str
+) -> DataFrame:
+    """Add the array ``out``, parallel to the array ``words``: each word's value or null.
 
-def _constant(table: DataFrame, word: str, slots: int) -> Column:
-    """The whole (small) table as a scalar subquery: an array of maps, one per slot."""
-    filled = table.groupBy(_slot(F.col(word), slots).alias("slot")).agg(
-        F.collect_list(F.struct(word, "value")).alias("entries")
+    ``table`` holds ``rows`` unique ``word`` and ``value`` columns.
+    """
+    slots = 1 << (4 * rows).bit_length()
+    found = F.transform(words, lambda w: F.get("_maps", _slot(w, slots))[w])
+    return (
+        posts.withColumn("_maps", _constant(table, word, slots))
+        .withColumn(out, found)
+        .drop("_maps")
     )
-    every = table.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
-    by_slot = F.sort_array(F.collect_list(F.struct("slot", "entries")))
-    maps = F.transform(by_slot, lambda s: F.map_from_entries(s.entries))
-    return every.join(filled, "slot", "left").agg(maps).scalar()
 
 
-def _joined(
+def with_joined_values(
     posts: DataFrame, text: str, words: str, table: DataFrame, word: str, out: str
 ) -> DataFrame:
-    """The values of each distinct text, known by its digest, in the order of its words.
+    """The same for a table of any size; ``words`` comes from the column ``text`` alone.
 
-    The outer explode keeps the optimizer from testing for empty arrays first, which
-    would compute the words twice. Copies of a text fold into one set on the map side.
+    Copies of a text fold into one set on the map side, in the order of the words.
     """
-    keyed = posts.withColumn("_digest", F.unhex(F.sha2(F.col(text), 256)))
+    keyed = posts.withColumn("_digest", digest(text))
     in_order = F.sort_array(F.collect_set(F.struct("position", "value")))
     values = (
         keyed.select("_digest", F.posexplode_outer(words).alias("position", word))
@@ -96,3 +71,24 @@ def _joined(
         .withColumn(out, F.coalesce(out, F.array()))
         .drop("_digest")
     )
+
+
+def digest(text: str) -> Column:
+    """Stands for a text as a key, where copies may be treated as one."""
+    return F.unhex(F.sha2(F.col(text), 256))
+
+
+def _slot(word: Column, slots: int) -> Column:
+    """The hash of a word cut to ``slots``, a power of two."""
+    return F.hash(word).bitwiseAND(F.lit(slots - 1))
+
+
+def _constant(table: DataFrame, word: str, slots: int) -> Column:
+    """The whole (small) table as a scalar subquery: an array of maps, one per slot."""
+    filled = table.groupBy(_slot(F.col(word), slots).alias("slot")).agg(
+        F.collect_list(F.struct(word, "value")).alias("entries")
+    )
+    every = table.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
+    by_slot = F.sort_array(F.collect_list(F.struct("slot", "entries")))
+    maps = F.transform(by_slot, lambda s: F.map_from_entries(s.entries))
+    return every.join(filled, "slot", "left").agg(maps).scalar()
