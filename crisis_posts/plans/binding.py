@@ -42,8 +42,20 @@ PLACE = {
 }
 
 
+# The columns read; a given schema spares a job per table that looks for it.
+TABLES = {
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
+    "labels": "doc_id long, quality int, toxic int",
+    "embeddings": "vec_id long, embedding array<float>",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
