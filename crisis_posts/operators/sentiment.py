@@ -59,9 +59,13 @@ def _with_scores(posts: DataFrame, text: str, mean: Callable[[str], Column]) ->
 def with_scorer_sentiment(
     posts: DataFrame, scorer: Callable[[Column], Column], text: str = "text"
 ) -> DataFrame:
-    """As above with a pandas UDF from text to struct(polarity, subjectivity)."""
+    """As above with a pandas UDF from text to struct(polarity, subjectivity).
+
+    The scorer never meets a null: a null text is handed over empty and its score dropped.
+    """
+    score = F.when(F.col(text).isNotNull(), scorer(F.coalesce(text, F.lit(""))))
     return (
-        posts.withColumn("_score", scorer(F.col(text)))
+        posts.withColumn("_score", score)
         .withColumns({f"sentiment_{m}": F.col(f"_score.{m}") for m in MEASURES})
         .drop("_score")
     )

@@ -143,9 +143,7 @@ def reject_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scores(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
     posts = _documents(spark, sf_dir).select("doc_id", "text")
     scored = sentiment.with_lexicon_sentiment(posts, binding.lexicon(spark), **options)
-    return _rounded(
-        scored.drop("text"), "sentiment_polarity", "sentiment_subjectivity"
-    )
+    return _rounded(scored.drop("text"), "sentiment_polarity", "sentiment_subjectivity")
 
 
 @register

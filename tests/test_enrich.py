@@ -4,12 +4,13 @@ import random
 from datetime import datetime, timedelta
 from email.utils import parsedate_to_datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from crisis_posts.functions.dates import parse_post_date, phase
 from crisis_posts.operators import enrich
-from crisis_posts.schemas import ENRICHED
+from crisis_posts.schemas import ENRICHED, SENTIMENT
 from crisis_posts.sources.labels import label_rejects, read_labels
 from crisis_posts.sources.posts import read_enriched, read_raw_posts, write_enriched
 from posts import LABEL_LINES, write_labels, write_raw
@@ -151,6 +152,19 @@ def test_unlabelled_posts_drop_out_and_labels_multiply(spark, raw, lexicon):
     assert "id" not in enrich.enrich_posts(raw, labels, lexicon).columns
 
 
+def test_enrich_with_a_scorer(raw, labels):
+    @F.pandas_udf(SENTIMENT)
+    def scorer(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"polarity": texts.str.len() / 4, "subjectivity": 0.5})
+
+    enriched = enrich.enrich_posts(raw, labels, scorer=scorer, keep_id=True)
+    rows = by_id(enriched)
+    assert rows.keys() == WHEN.keys()
+    assert (rows[2].sentiment_polarity, rows[1].sentiment_polarity) == (1.25, 0.5)
+    plan = enriched._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_one_way_to_score(raw, labels, lexicon):
     with pytest.raises(ValueError):
         enrich.enrich_posts(raw, labels)

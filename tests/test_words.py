@@ -169,8 +169,9 @@ def test_plugged_in_scorer_and_tagger(spark):
             yield texts.map(lambda t: [{"entity": w, "type": kind} for w in t.split()])
 
     posts = spark.createDataFrame([(1, "irma irma x"), (2, None), (3, "")], "id long, text string")
-    scored = sentiment.with_scorer_sentiment(posts.filter("text is not null"), scorer)
-    assert [(r.id, r.sentiment_polarity) for r in scored.collect()] == [(1, 1.1), (3, 0.0)]
+    scored = sentiment.with_scorer_sentiment(posts, scorer)
+    found = [(r.id, r.sentiment_polarity, r.sentiment_subjectivity) for r in scored.collect()]
+    assert found == [(1, 1.1, 0.11), (2, None, None), (3, 0.0, 0.0)]
     rows = mentions.explode_mentions(mentions.tag_mentions(posts, tagger))
     counts = mentions.mention_counts(mentions.canonical_mentions(rows))
     assert {tuple(r) for r in counts.collect()} == {("Irma", "MISC", 2), ("x", "W", 1)}
