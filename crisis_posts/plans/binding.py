@@ -34,13 +34,14 @@ RULES = (
     ("Orre", "(?i)^orre$", "NAME"),
 )
 
+TEXT = {"text"}
 FLAGS = {"verified", "possibly_sensitive"}
 POINT = {"longitude", "latitude"}
 PLACE = {
     "name", "screen_name", "country_code", "place_type", "place_name",
     "place_latitude", "place_longitude", "place_state",
 }
-
+EVERY_SIDE = TEXT | FLAGS | POINT | PLACE
 
 # The columns read; a given schema spares a job per table that looks for it.
 TABLES = {
@@ -91,33 +92,23 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _joined(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
+    """The sides that ``wanted`` touches. Texts come last: no other join moves them."""
     documents = table(spark, sf_dir, "documents")
     events = table(spark, sf_dir, "events").withColumnRenamed("event_id", "doc_id")
-    posts = documents.join(events, "doc_id").select(
-        F.col("doc_id").alias("id"),
-        "user_id",
-        "text",
-        "source",
-        F.col("n_chars").alias("favorite_count"),
-        F.col("ts").alias("date"),
-        F.col("event_type").alias("aidr_label"),
-        (F.col("value") / 50 - 1).alias("sentiment_polarity"),
-        (F.col("value") / (F.col("value") + 50)).alias("sentiment_subjectivity"),
-    )
-    if wanted & FLAGS:
-        flags = table(spark, sf_dir, "labels").select(
+    posts = (
+        documents.select("doc_id", "source", "n_chars")
+        .join(events, "doc_id")
+        .select(
             F.col("doc_id").alias("id"),
-            (F.col("quality") == 1).alias("verified"),
-            (F.col("toxic") == 1).alias("possibly_sensitive"),
+            "user_id",
+            "source",
+            F.col("n_chars").alias("favorite_count"),
+            F.col("ts").alias("date"),
+            F.col("event_type").alias("aidr_label"),
+            (F.col("value") / 50 - 1).alias("sentiment_polarity"),
+            (F.col("value") / (F.col("value") + 50)).alias("sentiment_subjectivity"),
         )
-        posts = posts.join(flags, "id", "left")
-    if wanted & POINT:
-        points = table(spark, sf_dir, "embeddings").select(
-            F.col("vec_id").alias("id"),
-            (F.get("embedding", F.lit(0)).cast("double") * 180).alias("longitude"),
-            (F.get("embedding", F.lit(1)).cast("double") * 90).alias("latitude"),
-        )
-        posts = posts.join(points, "id", "left")
+    )
     if wanted & PLACE:
         state_level = F.col("aidr_label").isin("view", "click")
         nation_code = F.concat(F.lit(", N"), F.col("n_nationkey").cast("string"))
@@ -137,6 +128,22 @@ def _joined(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
                 ),
             )
         )
+    if wanted & FLAGS:
+        flags = table(spark, sf_dir, "labels").select(
+            F.col("doc_id").alias("id"),
+            (F.col("quality") == 1).alias("verified"),
+            (F.col("toxic") == 1).alias("possibly_sensitive"),
+        )
+        posts = posts.join(flags, "id", "left")
+    if wanted & POINT:
+        points = table(spark, sf_dir, "embeddings").select(
+            F.col("vec_id").alias("id"),
+            (F.get("embedding", F.lit(0)).cast("double") * 180).alias("longitude"),
+            (F.get("embedding", F.lit(1)).cast("double") * 90).alias("latitude"),
+        )
+        posts = posts.join(points, "id", "left")
+    if wanted & TEXT:
+        posts = posts.join(documents.select(F.col("doc_id").alias("id"), "text"), "id")
     return posts
 
 
@@ -155,7 +162,7 @@ def enriched_posts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame
 
 
 def raw_posts(
-    spark: SparkSession, sf_dir: str, wanted: set[str] = FLAGS | POINT | PLACE
+    spark: SparkSession, sf_dir: str, wanted: set[str] = EVERY_SIDE
 ) -> DataFrame:
     """The shape ``read_raw_posts`` gives: nested, dates as text, reposts included.
 
@@ -164,7 +171,7 @@ def raw_posts(
     Fields from the sides that ``wanted`` does not touch are null.
     """
     posts = _joined(spark, sf_dir, wanted)
-    missing = (FLAGS | POINT | PLACE) - set(posts.columns)
+    missing = EVERY_SIDE - set(posts.columns)
     posts = posts.withColumns({name: F.lit(None).cast(_side_type(name)) for name in missing})
     weekday_month_day = F.date_format("date", "EEE MMM dd")
     clock = F.date_format("date", "HH:mm:ss")

@@ -77,7 +77,7 @@ def drop_reposts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def effective_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(spark, sf_dir, binding.FLAGS).select("id", "text")
+    return _derived(spark, sf_dir, binding.TEXT | binding.FLAGS).select("id", "text")
 
 
 @register
@@ -133,7 +133,7 @@ def enrich_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def reject_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = binding.raw_posts(spark, sf_dir, binding.FLAGS)
+    raw = binding.raw_posts(spark, sf_dir, binding.TEXT | binding.FLAGS)
     return enrich.post_rejects(raw).select("id", "created_at", "reason")
 
 
