@@ -23,7 +23,8 @@ def raw(spark, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def labels(spark, tmp_path_factory):
-    return read_labels(spark, write_labels(tmp_path_factory.mktemp("labels") / "l.txt", LABEL_LINES))
+    path = tmp_path_factory.mktemp("labels") / "labels.txt"
+    return read_labels(spark, write_labels(path, LABEL_LINES))
 
 
 @pytest.fixture(scope="module")

@@ -47,8 +47,9 @@ def test_posts_to_totals(spark, run, tmp_path, fmt):
     named = posts.drop("text").selectExpr("*", "'Houston irma Houston' as text")
     named.write.mode("overwrite").format(fmt).save(str(tmp_path / "named"))
     runs = tmp_path / "runs"
+    gazetteer = tmp_path / "gazetteer.csv"
     for i in (1, 2):
-        run("entities", tmp_path / "named", tmp_path / "gazetteer.csv", runs / f"run={i}", "--fmt", fmt)
+        run("entities", tmp_path / "named", gazetteer, runs / f"run={i}", "--fmt", fmt)
     counts = Counter()
     for row in read_entity_counts(spark, str(runs)).collect():
         counts[row.entity, row.type] += row["count"]

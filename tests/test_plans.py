@@ -154,11 +154,10 @@ def test_rows_are_sorted_within_a_file(spark, stored, tmp_path):
 
 def test_hot_name_is_counted_before_the_shuffle(spark):
     n = 30_000
+    letters = F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")
     posts = spark.range(0, n, 1, 8).select(
         F.when(F.col("id") % 3 == 0, "Harvey HARVEY harvey Irma")
-        .otherwise(
-            F.concat(F.lit("Name"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))
-        )
+        .otherwise(F.concat(F.lit("Name"), letters))
         .alias("text")
     )
     gazetteer = spark.createDataFrame([("Harvey", "PER")], "entity string, type string")

@@ -117,7 +117,8 @@ def test_domains_of_any_length(query):
     assert len(query.all_means([], []).collect()) == 1
     long = [f"x{i}" for i in range(means.MAX_BROADCAST)] + ["a"]
     assert query.mean_label_polarity(long)[-1] == pytest.approx([2.0, 0.2])
-    assert "hint" not in query.means_by("aidr_label", long)._jdf.queryExecution().analyzed().toString()
+    plan = query.means_by("aidr_label", long)._jdf.queryExecution().analyzed().toString()
+    assert "hint" not in plan
 
 
 def test_mean_of_one_label_equals_its_selection(spark):

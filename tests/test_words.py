@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from crisis_posts.operators import mentions, sentiment
+from crisis_posts.operators import mentions, sentiment, wordtable
 from crisis_posts.schemas import MENTIONS, SENTIMENT
 from crisis_posts.sources import tables
 
@@ -73,6 +73,14 @@ def test_a_large_table_is_not_sent_with_the_tasks(spark, documents):
     assert "scalar-subquery" in plan and "Generate" not in plan.split("Subquery")[0]
 
 
+def test_size_is_counted_in_rows_and_bytes(spark):
+    table = spark.createDataFrame([("a" * 600, 1.0), ("b" * 600, 2.0)], "word string, value double")
+    assert wordtable.rows_if_small(table, "word") == 2
+    assert wordtable.rows_if_small(table, "word", max_rows=1) is None
+    assert wordtable.rows_if_small(table, "word", max_bytes=1000) is None
+    assert wordtable.rows_if_small(table.limit(0), "word") == 0
+
+
 @BOTH_PATHS
 def test_mentions(spark, documents, texts, max_rows):
     known = {"The": "ART", "Of": "PREP"}
@@ -128,7 +136,8 @@ def test_merge_reads_both_spellings(spark, tmp_path):
     for i, text in enumerate(
         [
             '{"Entity":"Harvey","Type":"MISC","count":2}\n',
-            '{"entity":"Harvey","type":"MISC","count":3}\n{"entity":"Houston","type":"LOC","count":1}\n',
+            '{"entity":"Harvey","type":"MISC","count":3}\n'
+            '{"entity":"Houston","type":"LOC","count":1}\n',
             '{"entity":"Austin","type":"LOC","count":1}\nbroken\n',
         ]
     ):
