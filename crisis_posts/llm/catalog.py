@@ -6,7 +6,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crisis_posts.llm import chat, decontaminate, language, pieces, pii, token_counts
+from crisis_posts.llm import chat, decontaminate, language, ngram_join, pieces, pii, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,11 @@ def _of_kind(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda span: span["kind"] == kind)).cast("long")
 
 
+@register
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 @register
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
