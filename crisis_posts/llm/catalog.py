@@ -6,7 +6,9 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crisis_posts.llm import chat, decontaminate, language, ngram_join, pieces, pii, token_counts
+from crisis_posts.llm import (
+    chat, decontaminate, language, ngram_join, pieces, pii, secrets, token_counts, winnowing,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +57,25 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    beside = winnowing.beside_next(_table(spark, sf_dir, "documents"))
+    n = F.length("text")
+    third = F.floor(n / 3).cast("int")
+    edited = F.concat(
+        F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third)
+    )
+    beside = beside.withColumn("edited", edited).drop("next_text")
+    marked = winnowing.with_marks(beside, "edited", "edited_marks")
+    return marked.select(
+        "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        winnowing.spelled("marks").alias("fingerprint"),
+        winnowing.spelled("edited_marks").alias("edited_fingerprint"),
+        winnowing.likeness("marks", "edited_marks").alias("near_edited"),
+        winnowing.likeness("marks", "next_marks").alias("near_next"),
+    )
+
+
 @register
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
@@ -65,6 +86,18 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document counts as a repository, its source as the owner."""
+    found = secrets.find_secrets(_table(spark, sf_dir, "documents"), "doc_id", "source")
+    return found.select(
+        "doc_id", *(_of_kind("base", kind).alias(f"n_{kind}") for kind in secrets.BASE_KINDS),
+        F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
+        secrets.spelled(F.array_sort(F.concat("base", "added"))).alias("spans"),
+        "n_live", "n_copied",
+    )
+
+
 @register
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
