@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crisis_posts.llm import (
-    chat, decontaminate, language, ngram_join, pieces, pii, secrets, token_counts, winnowing,
+    chat, decontaminate, language, ngram_join, passages, pieces, pii, secrets, token_counts, winnowing,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,12 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = passages.remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     beside = winnowing.beside_next(_table(spark, sf_dir, "documents"))
