@@ -162,27 +162,18 @@ def _united(ranges: list[tuple[int, int]]) -> list[dict[str, int]]:
 
 
 def _disjoint(ranges: Column) -> Column:
-    """Cut from each range, in order of start, what ranges before it have covered."""
-    kept = F.aggregate(
-        F.array_sort(ranges),
-        F.struct(
-            F.lit(0).cast("long").alias("reach"),
-            F.array().cast("array<struct<start:long,end:long>>").alias("kept"),
-        ),
-        lambda state, r: F.struct(
-            F.greatest(state["reach"], r["end"]).alias("reach"),
-            F.concat(
-                state["kept"],
-                F.array(
-                    F.struct(
-                        F.greatest(r["start"], state["reach"]).alias("start"), r["end"].alias("end")
-                    )
-                ),
-            ).alias("kept"),
-        ),
-        lambda state: state["kept"],
-    )
-    return F.filter(kept, lambda r: r["start"] < r["end"])
+    """Join ranges that overlap or touch."""
+    none = F.array().cast("array<struct<start:long,end:long>>")
+
+    def joined(kept: Column, r: Column) -> Column:
+        last = F.element_at(kept, -1)
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], r["end"]).alias("end"))
+        apart = (F.size(kept) == 0) | (F.try_element_at(kept, F.lit(-1))["end"] < r["start"])
+        return F.when(apart, F.concat(kept, F.array(r))).otherwise(
+            F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(longer))
+        )
+
+    return F.aggregate(F.array_sort(ranges), none, joined)
 
 
 def covered(ranges: Column) -> Column:

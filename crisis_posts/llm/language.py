@@ -14,7 +14,6 @@ its start. All texts are classified whole.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
 from functools import cache
 
 import zstandard
@@ -107,30 +106,22 @@ def _compressors(items: tuple[tuple[str, bytes], ...]) -> Compressors:
 
 
 def identify_language(
-    documents: DataFrame,
-    dictionaries: dict[str, bytes],
-    min_margin: float = MIN_MARGIN,
-    keep: Iterable[str] = (),
+    documents: DataFrame, dictionaries: dict[str, bytes], min_margin: float = MIN_MARGIN
 ) -> DataFrame:
-    """(doc_id, *keep, lang_pred, score, rejected) of each whole text.
+    """(doc_id, lang_pred, score, rejected) of each whole text.
 
     score is the margin, 0 to 1. rejected: the margin is below min_margin, or there is no
     letter (lang_pred 'und'), as in null and empty texts. Ties go to the first language by
-    name, and have margin 0. Without dictionaries every text is 'und'.
+    name, and have margin 0. Without dictionaries every text is 'und'. Rows with equal doc_id
+    keep their number; columns besides doc_id and text are not looked at.
     """
     items = tuple(sorted(dictionaries.items()))
-    kept = list(keep)
-    texts = documents.select("doc_id", "text", *kept)
-    kinds = dict(texts.dtypes)
 
     def classify(rows):
         compressors = _compressors(items)
-        for doc, text, *others in rows:
+        for doc, text in rows:
             lang, margin = compressors.classify(text or b"")
-            yield doc, *others, lang, margin, lang == UNKNOWN or margin < min_margin
+            yield doc, lang, margin, lang == UNKNOWN or margin < min_margin
 
-    schema = ", ".join(
-        [f"doc_id {kinds['doc_id']}", *(f"`{c}` {kinds[c]}" for c in kept)]
-        + ["lang_pred string", "score double", "rejected boolean"]
-    )
-    return map_rows(texts, schema, classify)
+    schema = "doc_id long, lang_pred string, score double, rejected boolean"
+    return map_rows(documents.select("doc_id", "text"), schema, classify)

@@ -262,20 +262,23 @@ def masked(documents: DataFrame, found: DataFrame) -> DataFrame:
     documents are (doc_id, text, ...), found is the result of find_personal_data; overlapping
     spans are replaced as one, by the name of the first. Rows keep their other columns.
     """
-    spans = found.select(
-        "doc_id", F.concat("base", "added").alias("spans")
-    ).where(F.size("spans") > 0).dropDuplicates(["doc_id"])
-    joined = documents.join(spans, "doc_id", "left")
+    spans = (
+        found.select("doc_id", F.concat("base", "added").alias("spans"))
+        .where(F.size("spans") > 0).dropDuplicates(["doc_id"]).alias("found")
+    )
+    joined = documents.alias("own").join(
+        spans, F.col("own.doc_id") == F.col("found.doc_id"), "left"
+    )
     ordered = F.array_sort(
         F.transform(
-            "spans",
+            "found.spans",
             lambda s: F.struct(
                 s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end"),
                 s["kind"].alias("kind"),
             ),
         )
     )
-    text = F.col("text")
+    text = F.col("own.text")
     state = F.aggregate(
         ordered,
         F.struct(F.lit("").alias("out"), F.lit(0).alias("reach")),
@@ -298,5 +301,7 @@ def masked(documents: DataFrame, found: DataFrame) -> DataFrame:
             acc["out"], F.substring(text, acc["reach"] + 1, F.length(text))
         ),
     )
-    masked_text = F.when(F.size("spans") > 0, state).otherwise(text)
-    return joined.withColumn("text", masked_text).select(documents.columns)
+    masked_text = F.when(F.col("found.spans").isNull(), text).otherwise(state).alias("text")
+    return joined.select(
+        *(masked_text if c == "text" else F.col(f"own.`{c}`") for c in documents.columns)
+    )

@@ -68,7 +68,7 @@ def personal(text):
             digits = re.sub("[^0-9]", "", m[0])
             good = {
                 "email": True,
-                "ip": all(int(part) <= 255 for part in m[0].split(".")) if kind == "ip" else True,
+                "ip": all(re.fullmatch("0*([01]?[0-9]{1,2}|2[0-4][0-9]|25[0-5])", part) for part in m[0].split(".")) if kind == "ip" else True,
                 "card": 16 <= len(digits) <= 19 and luhn(digits),
                 "phone": 8 <= len(digits) <= 15,
             }[kind]
