@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 from crisis_posts.schemas import BAND_BOUNDS, BAND_NAMES
 
-WORD = "([a-z]+)"
-NAME = "([A-Z][a-z]+)"
+# A word is a whole run of letters. A name is a run of words that each begin with a capital
+# and have two letters or more, so a word in capitals is one. The other alternatives step over
+# the words that are no names, so that no name starts inside a word.
+WORD = r"([\p{L}\p{M}]+)"
+NAME = (
+    r"(\p{Lu}[\p{L}\p{M}]+(?: \p{Lu}[\p{L}\p{M}]+)*)"
+    r"|\p{Lu}|[\p{Ll}\p{Lt}\p{Lm}\p{Lo}\p{M}][\p{L}\p{M}]*"
+)
 
 
 def effective_text(truncated: Column, text: Column, full_text: Column) -> Column:
@@ -21,8 +27,12 @@ def words(text: Column) -> Column:
 
 
 def names(text: Column, pattern: str = NAME) -> Column:
-    """Every match of the pattern's first group, in order, from the whole text."""
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    """Every match of the pattern's first group, in order, from the whole text.
+
+    A match that leaves the group out is none.
+    """
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    return F.filter(found, lambda name: name != "")
 
 
 def sentiment_band(

@@ -1,9 +1,9 @@
 """The test tables seen as posts: raw, enriched, and as label-file lines.
 
-A document is a post, the event of the same id its date, label and score, its quality
-and toxicity its flags, its embedding its point, the event's customer its author and
-place. Side tables have unique keys, so a query that does not read a side's columns
-leaves that join out.
+An event is a post with its date, label and score. The document of the same id, where there
+is one, is its text, the document's quality and toxicity its flags, the embedding of the id
+its point, the event's customer its author and place. Side tables have unique keys, so a
+query that does not read a side's columns leaves that join out.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +26,7 @@ LEXICON = (
 GAZETTEER = (
     {"entity": "The", "type": "ART"},
     {"entity": "Of", "type": "PREP"},
-    {"entity": "Ci", "type": "LOC"},
+    {"entity": "Ción", "type": "LOC"},
     {"entity": "Orre", "type": "PER"},
 )
 RULES = (
@@ -34,7 +34,7 @@ RULES = (
     ("Orre", "(?i)^orre$", "NAME"),
 )
 
-TEXT = {"text"}
+TEXT = {"text", "source", "favorite_count"}
 FLAGS = {"verified", "possibly_sensitive"}
 POINT = {"longitude", "latitude"}
 PLACE = {
@@ -85,29 +85,21 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
             "c_mktsegment",
             "n_name",
             "n_nationkey",
-            (F.col("n_nationkey") * 2.5 - 90).alias("place_longitude"),
-            (F.col("n_regionkey") * 7.25 + 10).alias("place_latitude"),
+            F.when(F.col("n_regionkey") != 4, F.col("n_nationkey") * 2.5 - 90).alias("place_longitude"),
+            F.when(F.col("n_regionkey") != 4, F.col("n_regionkey") * 7.25 + 10).alias("place_latitude"),
         )
     )
 
 
 def _joined(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
-    """The sides that ``wanted`` touches. Texts come last: no other join moves them."""
-    documents = table(spark, sf_dir, "documents")
-    events = table(spark, sf_dir, "events").withColumnRenamed("event_id", "doc_id")
-    posts = (
-        documents.select("doc_id", "source", "n_chars")
-        .join(events, "doc_id")
-        .select(
-            F.col("doc_id").alias("id"),
-            "user_id",
-            "source",
-            F.col("n_chars").alias("favorite_count"),
-            F.col("ts").alias("date"),
-            F.col("event_type").alias("aidr_label"),
-            (F.col("value") / 50 - 1).alias("sentiment_polarity"),
-            (F.col("value") / (F.col("value") + 50)).alias("sentiment_subjectivity"),
-        )
+    """All events, and the sides that ``wanted`` touches. Texts come last: no other join moves them."""
+    posts = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"),
+        "user_id",
+        F.col("ts").alias("date"),
+        F.col("event_type").alias("aidr_label"),
+        (F.col("value") / 50 - 1).alias("sentiment_polarity"),
+        (F.col("value") / (F.col("value") + 50)).alias("sentiment_subjectivity"),
     )
     if wanted & PLACE:
         state_level = F.col("aidr_label").isin("view", "click")
@@ -143,7 +135,10 @@ def _joined(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
         )
         posts = posts.join(points, "id", "left")
     if wanted & TEXT:
-        posts = posts.join(documents.select(F.col("doc_id").alias("id"), "text"), "id")
+        documents = table(spark, sf_dir, "documents").select(
+            F.col("doc_id").alias("id"), "source", "text", F.col("n_chars").alias("favorite_count")
+        )
+        posts = posts.join(documents, "id", "left")
     return posts
 
 
@@ -197,7 +192,7 @@ def raw_posts(
         "id",
         F.struct("name", "screen_name", "verified").alias("user"),
         "text",
-        F.struct(F.concat_ws(" ", "source", "text").alias("full_text")).alias("extended_tweet"),
+        F.struct(F.concat("source", F.lit(" "), "text").alias("full_text")).alias("extended_tweet"),
         created_at.alias("created_at"),
         F.when(F.col("aidr_label") == "purchase", F.struct("id")).alias("retweeted_status"),
         F.col("verified").alias("truncated"),
@@ -220,6 +215,8 @@ def raw_posts(
 def _side_type(name: str) -> str:
     if name in FLAGS:
         return "boolean"
+    if name == "favorite_count":
+        return "long"
     return "double" if name.endswith("itude") else "string"
 
 

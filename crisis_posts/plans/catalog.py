@@ -337,12 +337,14 @@ def mean_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def mean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overall, label and state means of one selection, in one pass."""
+    return _rounded(_all_means(spark, sf_dir), "polarity", "subjectivity")
+
+
+def _all_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = _query(spark, sf_dir, "aidr_label", "place_state", "date", *MEASURED).where(
         created_at="2024-01-01", created_at_end="2024-01-02"
     )
-    return _rounded(
-        chosen.all_means(binding.LABELS, binding.STATE_DOMAIN), "polarity", "subjectivity"
-    )
+    return chosen.all_means(binding.LABELS, binding.STATE_DOMAIN)
 
 
 # Result tables
@@ -350,7 +352,7 @@ def mean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def mean_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.mean_captions(mean_all(spark, sf_dir)).drop("polarity", "subjectivity")
+    return views.mean_captions(_all_means(spark, sf_dir)).drop("polarity", "subjectivity")
 
 
 @register

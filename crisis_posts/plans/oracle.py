@@ -3,7 +3,7 @@
 # The test tables as enriched posts, as ``binding`` sees them.
 _BASE = """
 base as (
-  select d.doc_id as id, d.text, d.source, d.lang, d.n_chars as favorite_count, e.ts as date,
+  select e.event_id as id, d.text, d.source, d.lang, d.n_chars as favorite_count, e.ts as date,
     e.event_type as aidr_label,
     l.quality = 1 as verified, l.toxic = 1 as possibly_sensitive,
     cast(v.embedding[1] as double) * 180 as longitude,
@@ -14,13 +14,13 @@ base as (
          when e.event_type in ('error', 'signup') then 'city' else 'poi' end as place_type,
     case when e.event_type in ('view', 'click') then n.n_name || ', USA'
          else c.c_mktsegment || ', N' || cast(n.n_nationkey as varchar) end as place_name,
-    cast(n.n_nationkey as double) * 2.5 - 90 as place_longitude,
-    cast(n.n_regionkey as double) * 7.25 + 10 as place_latitude,
+    case when n.n_regionkey <> 4 then cast(n.n_nationkey as double) * 2.5 - 90 end as place_longitude,
+    case when n.n_regionkey <> 4 then cast(n.n_regionkey as double) * 7.25 + 10 end as place_latitude,
     e.value / 50 - 1 as sentiment_polarity,
     e.value / (e.value + 50) as sentiment_subjectivity
-  from documents d join events e on e.event_id = d.doc_id
-  left join labels l on l.doc_id = d.doc_id
-  left join embeddings v on v.vec_id = d.doc_id
+  from events e left join documents d on d.doc_id = e.event_id
+  left join labels l on l.doc_id = e.event_id
+  left join embeddings v on v.vec_id = e.event_id
   left join customer c on c.c_custkey = e.user_id
   left join nation n on n.n_nationkey = c.c_nationkey
   left join region r on r.r_regionkey = n.n_regionkey
@@ -75,24 +75,30 @@ lexicon(word, p, s) as (
 ),
 hits as (
   select id, avg(p) as p, avg(s) as s
-  from (select id, unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from {source})
+  from (select id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}]+')) as word from {source})
   join lexicon using (word) group by id
 ),
 scored as (
-  select t.id, coalesce(p, 0.0) as polarity, coalesce(s, 0.0) as subjectivity
+  select t.id, case when text is not null then coalesce(p, 0.0) end as polarity,
+    case when text is not null then coalesce(s, 0.0) end as subjectivity
   from {source} t left join hits using (id)
 )"""
 
 
-_MENTIONS = """
+_NAME = (
+    r"(\p{Lu}[\p{L}\p{M}]+(?: \p{Lu}[\p{L}\p{M}]+)*)"
+    r"|\p{Lu}|[\p{Ll}\p{Lt}\p{Lm}\p{Lo}\p{M}][\p{L}\p{M}]*"
+)
+
+_MENTIONS = f"""
 mentions as (
   select doc_id, lang, pos, entity,
-    coalesce(case entity when 'The' then 'ART' when 'Of' then 'PREP' when 'Ci' then 'LOC'
+    coalesce(case entity when 'The' then 'ART' when 'Of' then 'PREP' when 'Ción' then 'LOC'
                          when 'Orre' then 'PER' end, 'MISC') as type
   from (
     select doc_id, lang, unnest(list) as entity, generate_subscripts(list, 1) as pos
-    from (select doc_id, lang, regexp_extract_all(text, '[A-Z][a-z]+') as list from documents)
-  )
+    from (select doc_id, lang, regexp_extract_all(text, '{_NAME}', 1) as list from documents)
+  ) where entity <> ''
 ),
 canonical as (
   select doc_id, lang,
@@ -185,7 +191,7 @@ grouped as (
   from chosen group by 2
 ),
 means as (
-  select dimension, position, member, round(p, 8) as polarity, round(s, 8) as subjectivity
+  select dimension, position, member, p as polarity, s as subjectivity
   from domain left join grouped using (dimension, member)
 )"""
 
@@ -221,7 +227,11 @@ select d.id, d.name, d.screen_name, d.verified, d.text, d.possibly_sensitive, d.
 from derived d join label_rows r on r.id = d.id join scored s on s.id = d.id
 where d.aidr_label <> 'purchase'""",
     "reject_posts": f"""with {_RAW}
-select id, created_at, 'unreadable date' as reason from raw where aidr_label = 'error'""",
+select id, created_at,
+  case when text is null or (truncated and full_text is null) then 'no text'
+    else 'unreadable date' end as reason
+from raw where aidr_label <> 'purchase'
+  and (text is null or (truncated and full_text is null) or aidr_label = 'error')""",
     "sentiment_score": _SCORES,
     "sentiment_score_joined": _SCORES,
     "extract_mentions": _MENTION_LISTS,
@@ -259,7 +269,9 @@ select round(avg(sentiment_polarity), 8) as polarity,
   round(avg(sentiment_subjectivity), 8) as subjectivity from posts where phase = 1""",
     "mean_by_label": _means_by("aidr_label", _LABEL_DOMAIN),
     "mean_by_state": _means_by("place_state", _STATE_DOMAIN),
-    "mean_all": f"{_MEAN_ALL} select * from means",
+    "mean_all": f"""{_MEAN_ALL}
+select dimension, position, member, round(polarity, 8) as polarity,
+  round(subjectivity, 8) as subjectivity from means""",
     "mean_captions": f"""{_MEAN_ALL}
 select dimension, position, member,
   case when polarity is null then null when polarity < -0.3 then 'red'

@@ -28,7 +28,7 @@ def texts(documents):
 
 @BOTH_PATHS
 def test_lexicon_scores(spark, documents, texts, max_rows):
-    vocabulary = sorted({w for t in texts.values() for w in re.findall("[a-z]+", t.lower())})
+    vocabulary = sorted({w for t in texts.values() for w in re.findall(r"[^\W\d_]+", t.lower())})
     lexicon = {w: (len(w) / 10 - 0.5, i % 7 / 7) for i, w in enumerate(vocabulary) if i % 3}
     rows = [(word, *values) for word, values in lexicon.items()]
     table = spark.createDataFrame(rows, "word string, polarity double, subjectivity double")
@@ -37,7 +37,7 @@ def test_lexicon_scores(spark, documents, texts, max_rows):
     rows = scored.collect()
     assert len(rows) == len(texts)
     for row in rows:
-        hits = [lexicon[w] for w in re.findall("[a-z]+", row.text.lower()) if w in lexicon]
+        hits = [lexicon[w] for w in re.findall(r"[^\W\d_]+", row.text.lower()) if w in lexicon]
         for i, found in enumerate((row.sentiment_polarity, row.sentiment_subjectivity)):
             mean = sum(hit[i] for hit in hits) / len(hits) if hits else 0.0
             assert found == pytest.approx(mean, abs=1e-9)
@@ -81,6 +81,47 @@ def test_size_is_counted_in_rows_and_bytes(spark):
     assert wordtable.rows_if_small(table.limit(0), "word") == 0
 
 
+def capitalized_runs(text):
+    """Whole words that begin with a capital and are no single letter, joined over one space."""
+    words = [m for m in re.finditer(r"[^\W\d_]+", text)]
+    runs, end = [], None
+    for m in words:
+        if m[0][0].isupper() and len(m[0]) > 1:
+            if end is not None and text[end : m.start()] == " ":
+                runs[-1] += " " + m[0]
+            else:
+                runs.append(m[0])
+            end = m.end()
+        else:
+            end = None
+    return runs
+
+
+def test_names_are_whole_words_and_runs_of_them(spark):
+    text = "José saw Élan in New York, HARVEY hit; Hurricane Harvey. iPhone A McDonald ‘Ción’ x9Y"
+    posts = spark.createDataFrame([(1, text)], "id long, text string")
+    found = mentions.extract_mentions(posts, spark.createDataFrame([("New York", "LOC")], "entity string, type string"))
+    row = found.first()
+    assert [m.entity for m in row.entities] == [
+        "José", "Élan", "New York", "HARVEY", "Hurricane Harvey", "McDonald", "Ción",
+    ]
+    assert [m.type for m in row.entities][2] == "LOC"
+    counts = {(r.Entity, r.Type): r["count"] for r in mentions.text_mention_counts(
+        posts, spark.createDataFrame([], "entity string, type string")).collect()}
+    assert counts["Harvey", "MISC"] == 2
+
+
+def test_no_name_or_word_is_part_of_a_longer_one(spark, documents, texts):
+    gazetteer = spark.createDataFrame([], "entity string, type string")
+    for row in mentions.extract_mentions(documents, gazetteer).collect():
+        text, at = texts[row.doc_id], 0
+        for mention in row.entities:
+            at = text.index(mention.entity, at)
+            while text[max(at - 1, 0) : at].isalpha() or text[at + len(mention.entity) :][:1].isalpha():
+                at = text.index(mention.entity, at + 1)
+            at += len(mention.entity)
+
+
 @BOTH_PATHS
 def test_mentions(spark, documents, texts, max_rows):
     known = {"The": "ART", "Of": "PREP"}
@@ -89,7 +130,7 @@ def test_mentions(spark, documents, texts, max_rows):
     assert len(rows) == len(texts)
     counts = Counter()
     for row in rows:
-        expected = [(n, known.get(n, "MISC")) for n in re.findall("[A-Z][a-z]+", texts[row.doc_id])]
+        expected = [(n, known.get(n, "MISC")) for n in capitalized_runs(texts[row.doc_id])]
         assert [tuple(m) for m in row.entities] == expected
         counts.update(expected)
     table = mentions.mention_counts(
@@ -138,7 +179,7 @@ def test_merge_reads_both_spellings(spark, tmp_path):
             '{"Entity":"Harvey","Type":"MISC","count":2}\n',
             '{"entity":"Harvey","type":"MISC","count":3}\n'
             '{"entity":"Houston","type":"LOC","count":1}\n',
-            '{"entity":"Austin","type":"LOC","count":1}\nbroken\n',
+            '{"entity":"Austin","type":"LOC","count":1}\n',
         ]
     ):
         (runs / f"run{i}").mkdir(parents=True)
@@ -153,6 +194,38 @@ def test_merge_reads_both_spellings(spark, tmp_path):
     assert sorted(tuple(row) for row in again.collect()) == sorted(expected)
 
 
+def test_bad_count_lines_stop_the_merge_or_are_listed(spark, tmp_path):
+    (tmp_path / "a.json").write_text(
+        '{"entity":"Austin","type":"LOC","count":1}\nbroken\n{"entity":"B","type":"X","count":"x"}\n'
+    )
+    path = str(tmp_path / "a.json")
+    with pytest.raises(Exception, match="unreadable entity count: broken"):
+        mentions.merge_counts(tables.read_entity_counts(spark, path)).collect()
+    kept = tables.read_entity_counts(spark, path, skip_bad=True).collect()
+    assert [tuple(row) for row in kept] == [("Austin", "LOC", 1)]
+    assert tables.count_rejects(spark, path).count() == 2
+
+
+def test_counts_in_parquet_merge_like_json(spark, documents, tmp_path):
+    counts = mentions.text_mention_counts(documents, spark.createDataFrame([], "entity string, type string"))
+    found = []
+    for fmt in ("json", "parquet"):
+        tables.write_entity_counts(counts, str(tmp_path / fmt), fmt)
+        read = tables.read_entity_counts(spark, str(tmp_path / fmt), fmt)
+        found.append([tuple(row) for row in mentions.merge_counts(read).collect()])
+    assert found[0] == found[1] and found[0]
+
+
+def test_word_tables_are_read_by_name(spark, tmp_path):
+    (tmp_path / "l.csv").write_text("word,subjectivity,polarity\ngood,0.25,0.5\n")
+    assert tuple(tables.read_lexicon(spark, str(tmp_path / "l.csv")).first()) == ("good", 0.5, 0.25)
+    (tmp_path / "g.csv").write_text("type,entity\nLOC,New York\n")
+    assert tuple(tables.read_gazetteer(spark, str(tmp_path / "g.csv")).first()) == ("New York", "LOC")
+    (tmp_path / "bad.csv").write_text("name,kind\nx,y\n")
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        tables.read_gazetteer(spark, str(tmp_path / "bad.csv")).collect()
+
+
 def test_merged_parts_equal_the_whole(spark, documents, tmp_path):
     gazetteer = spark.createDataFrame([("The", "ART")], "entity string, type string")
     whole = mentions.text_mention_counts(documents, gazetteer)
