@@ -19,15 +19,21 @@ def main() -> None:
     enrich.add_argument("--by-date", action="store_true")
     enrich.add_argument("--keep-id", action="store_true")
     enrich.add_argument("--rejects")
+    enrich.add_argument("--label-header", help="the label file's header line")
+    enrich.add_argument("--scorer", metavar="MODULE:NAME", help="pandas UDF instead of the lexicon")
 
     entities = commands.add_parser("entities", help="enriched table to entity counts")
     for name in ("posts", "gazetteer", "output"):
         entities.add_argument(name)
     entities.add_argument("--fmt", choices=("parquet", "json"), default="parquet")
 
+    entities.add_argument("--counts-fmt", choices=("parquet", "json"), default="json")
+    entities.add_argument("--tagger", metavar="MODULE:NAME", help="pandas UDF instead of names")
+
     merge = commands.add_parser("merge", help="entity counts of many runs to totals")
     for name in ("counts", "output"):
         merge.add_argument(name)
+    merge.add_argument("--counts-fmt", choices=("parquet", "json"), default="json")
 
     arguments = vars(parser.parse_args())
     job = {

@@ -87,6 +87,8 @@ def enrich_posts(
     if (lexicon is None) == (scorer is None):
         raise ValueError("give either a lexicon or a scorer")
     posts = derive_columns(drop_reposts(project_posts(raw)), states, phase_cuts)
+    if scorer is not None:  # a model is dear: only posts that will stay are scored
+        posts = posts.join(labels.select("id").distinct(), "id", "left_semi")
     scored = (
         with_lexicon_sentiment(posts, lexicon)
         if scorer is None
@@ -96,14 +98,21 @@ def enrich_posts(
 
 
 def post_rejects(raw: DataFrame) -> DataFrame:
-    """Posts whose line, text or date could not be read, with the first reason."""
+    """Posts that the enriched table lacks or has only in part, with the first reason.
+
+    ``post`` holds the whole post: a field is read, and found unreadable, only if something
+    asks for it.
+    """
     kept = drop_reposts(raw)
     text = effective_text(F.col("truncated"), F.col("text"), F.col("extended_tweet.full_text"))
     reason = (
-        F.when(F.col(CORRUPT).isNotNull(), "unreadable line")
+        F.when(F.col(CORRUPT).isNotNull() & F.col("id").isNotNull(), "unreadable field")
+        .when(F.col(CORRUPT).isNotNull(), "unreadable line")
+        .when(F.col("id").isNull(), "no id")
         .when(text.isNull(), "no text")
         .when(dates.parse_post_date(F.col("created_at")).isNull(), "unreadable date")
     )
     return kept.select(
-        "id", text.alias("text"), "created_at", CORRUPT, reason.alias("reason")
+        "id", text.alias("text"), "created_at", CORRUPT, reason.alias("reason"),
+        F.to_json(F.struct(*raw.columns)).alias("post"),
     ).filter(F.col("reason").isNotNull())

@@ -51,12 +51,45 @@ def result_table(posts: DataFrame) -> DataFrame:
     return posts.select(*RESULT_COLUMNS)
 
 
+def four_decimals(name: str) -> Column:
+    """A number with four decimals, rounded by its exact value; exact ties go to the even digit.
+
+    Spark's own formats round the shortest decimal that reads as the number. Here a number is
+    compared with the midpoint of its neighbours, and where it is the double nearest to that
+    midpoint, with the midpoint's exact value: what the division left over, which products of
+    a short factor give without error.
+    """
+    # Beyond this size a double has no four decimals to speak of; NaN has none either.
+    size = F.when(F.abs(name) < 1e9, F.abs(name))
+    below = F.floor(size * 10_000).cast("long")
+    # Multiplying may round up to the next whole number; the midpoint below is then passed.
+    below = F.when(size < below / F.lit(10_000.0), below - 1).otherwise(below)
+    odd = (below * 2 + 1).cast("double")
+    midpoint = odd / 20_000.0
+    high = (midpoint * 32).cast("float").cast("double")
+    left = (odd - high * 625) - (midpoint * 32 - high) * 625
+    up = (size > midpoint) | (
+        (size == midpoint) & ((left < 0) | ((left == 0) & (below % 2 == 1)))
+    )
+    digits = below + F.when(up, 1).otherwise(0)
+    text = F.concat(
+        F.when(F.col(name).cast("string").startswith("-"), "-").otherwise(""),
+        F.floor(digits / 10_000).cast("string"),
+        F.lit("."),
+        F.lpad((digits % 10_000).cast("string"), 4, "0"),
+    )
+    return F.coalesce(text, F.format_string("%.4f", name))
+
+
 def mean_captions(
     table: DataFrame, missing: str = "no data", bounds: tuple[float, float] = BAND_BOUNDS
 ) -> DataFrame:
-    """Add ``band`` and ``caption`` (four decimals each) to a table of means."""
+    """Add ``band`` and ``caption`` (four decimals each) to a table of means.
+
+    Decimals are those of the exact value, as ``%.4f`` gives them in C and Python.
+    """
     known = F.col("polarity").isNotNull()
-    text = F.format_string("%.4f, %.4f", "polarity", "subjectivity")
+    text = F.concat_ws(", ", *(four_decimals(name) for name in ("polarity", "subjectivity")))
     return table.withColumns(
         {
             "band": F.when(known, sentiment_band(F.col("polarity"), bounds)),

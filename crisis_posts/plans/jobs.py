@@ -4,7 +4,10 @@ Each reads its input once and writes with overwrite; a lost task is redone by Sp
 from its input, nothing is kept between stages.
 """
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
+from importlib import import_module
+
+from pyspark.sql import Column, SparkSession
 
 from crisis_posts.operators import enrich, mentions
 from crisis_posts.sources import labels as label_file
@@ -23,13 +26,20 @@ def enrichment_job(
     by_date: bool = False,
     keep_id: bool = False,
     rejects: str | None = None,
+    label_header: str | None = None,
+    scorer: str | None = None,
 ) -> None:
-    """``rejects`` names a JSON directory for unreadable posts; it costs a second scan."""
+    """``rejects`` names a JSON directory for unreadable posts; it costs a second scan.
+
+    ``scorer`` is the import path (``package.module:name``) of a pandas UDF from text to
+    struct(polarity, subjectivity), which takes the lexicon's place.
+    """
     raw = post_files.read_raw_posts(spark, posts)
     enriched = enrich.enrich_posts(
         raw,
-        label_file.read_labels(spark, labels),
-        tables.read_lexicon(spark, lexicon),
+        label_file.read_labels(spark, labels, label_header),
+        None if scorer else tables.read_lexicon(spark, lexicon),
+        scorer=_imported(scorer),
         keep_id=keep_id,
     )
     post_files.write_enriched(
@@ -40,13 +50,32 @@ def enrichment_job(
 
 
 def entity_job(
-    spark: SparkSession, posts: str, gazetteer: str, output: str, fmt: str = "parquet"
+    spark: SparkSession,
+    posts: str,
+    gazetteer: str,
+    output: str,
+    fmt: str = "parquet",
+    counts_fmt: str = "json",
+    tagger: str | None = None,
 ) -> None:
+    """``tagger`` is the import path of a pandas UDF from text to mentions, used in place of
+    the name pattern and the gazetteer."""
     enriched = post_files.read_enriched(spark, posts, fmt)
-    counts = mentions.text_mention_counts(enriched, tables.read_gazetteer(spark, gazetteer))
-    tables.write_entity_counts(counts, output)
+    if tagger:
+        tagged = mentions.explode_mentions(mentions.tag_mentions(enriched, _imported(tagger)))
+        counts = mentions.mention_counts(mentions.canonical_mentions(tagged))
+    else:
+        counts = mentions.text_mention_counts(enriched, tables.read_gazetteer(spark, gazetteer))
+    tables.write_entity_counts(counts, output, counts_fmt)
 
 
-def merge_job(spark: SparkSession, counts: str, output: str) -> None:
-    totals = mentions.merge_counts(tables.read_entity_counts(spark, counts))
+def merge_job(spark: SparkSession, counts: str, output: str, counts_fmt: str = "json") -> None:
+    totals = mentions.merge_counts(tables.read_entity_counts(spark, counts, counts_fmt))
     tables.write_entity_totals(totals, output)
+
+
+def _imported(path: str | None) -> Callable[[Column], Column] | None:
+    if path is None:
+        return None
+    module, _, name = path.partition(":")
+    return getattr(import_module(module), name)

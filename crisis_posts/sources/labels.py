@@ -22,12 +22,27 @@ def parse_label_lines(lines: DataFrame, header: str | None) -> DataFrame:
 
 
 def read_labels(spark: SparkSession, path: str, header: str | None = None) -> DataFrame:
-    """Without a given header the first line is read (one row) and taken as such."""
+    """Lines equal to the given header are dropped.
+
+    Without one, a file's first line counts as its header if its id is not a number. So a
+    file without header keeps its first label, and files need not agree. That takes a scan
+    of the lines and brings the different header lines to the driver.
+    """
     lines = spark.read.text(path)
-    if header is None:
-        first = lines.first()
-        header = first.value if first else None
-    return parse_label_lines(lines, header)
+    if header is not None:
+        return parse_label_lines(lines, header)
+    first = (
+        lines.select(
+            "_metadata.file_path", "_metadata.file_block_start",
+            F.struct(F.monotonically_increasing_id().alias("place"), "value").alias("line"),
+        )
+        .filter("file_block_start = 0")
+        .groupBy("file_path")
+        .agg(F.min("line")["value"].alias("value"))
+        .filter(F.get(F.split("value", "\t"), F.lit(0)).try_cast("long").isNull())
+    )
+    headers = [row["value"] for row in first.select("value").distinct().collect()]
+    return parse_label_lines(lines.filter(~F.col("value").isin(headers)), None)
 
 
 def label_rejects(labels: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from crisis_posts.schemas import ENTITY_TOTAL, GAZETTEER, LEXICON
 
@@ -10,26 +11,44 @@ def write_entity_counts(counts: DataFrame, path: str, fmt: str = "json") -> None
     counts.write.mode("overwrite").format(fmt).save(path)
 
 
-def read_entity_counts(spark: SparkSession, path: str) -> DataFrame:
-    """JSON counts of one or many runs, with ``Entity``/``Type`` or ``entity``/``type``.
-
-    JSON field names are case sensitive, so the keys are folded before they are read.
-    """
+def _count_lines(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """``value``, the line, and its fields; JSON keys are case sensitive and so are folded."""
+    if fmt == "json":
+        lines = spark.read.text(path)
+    else:
+        rows = spark.read.format(fmt).load(path)
+        lines = rows.select(F.to_json(F.struct("*")).alias("value"))
     fields = F.transform_keys(
         F.from_json("value", "map<string, string>"), lambda key, _: F.lower(key)
     )
-    return (
-        spark.read.text(path)
-        .select(fields.alias("f"))
-        .filter(F.col("f").isNotNull())
-        .select(
-            F.col("f")["entity"].alias("entity"),
-            F.col("f")["type"].alias("type"),
-            F.col("f")["count"].try_cast("long").alias("count"),
-        )
+    return lines.select("value", fields.alias("f")).select(
+        "value",
+        F.col("f")["entity"].alias("entity"),
+        F.col("f")["type"].alias("type"),
+        F.col("f")["count"].try_cast("long").alias("count"),
     )
 
 
+def read_entity_counts(
+    spark: SparkSession, path: str, fmt: str = "json", skip_bad: bool = False
+) -> DataFrame:
+    """Counts of one or many runs, with ``Entity``/``Type`` or ``entity``/``type``.
+
+    A line whose count can't be read stops the job with the line in the message;
+    ``skip_bad`` leaves such lines out, and ``count_rejects`` lists them.
+    """
+    rows = _count_lines(spark, path, fmt)
+    if skip_bad:
+        return rows.filter(F.col("count").isNotNull()).drop("value")
+    stop = F.raise_error(F.concat(F.lit("unreadable entity count: "), "value")).cast("long")
+    return rows.select("entity", "type", F.coalesce("count", stop).alias("count"))
+
+
+def count_rejects(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """The lines that ``read_entity_counts`` can't read."""
+    return _count_lines(spark, path, fmt).filter(F.col("count").isNull()).select("value")
+
+
 def write_entity_totals(totals: DataFrame, path: str, fmt: str = "json") -> None:
     """Keeps the global order: file names follow the sorted partitions."""
     totals.write.mode("overwrite").format(fmt).save(path)
@@ -40,10 +59,16 @@ def read_entity_totals(spark: SparkSession, path: str, fmt: str = "json") -> Dat
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header: word, polarity, subjectivity."""
-    return spark.read.schema(LEXICON).csv(path, header=True)
+    """CSV with a header that names word, polarity and subjectivity, in any order."""
+    return _named_csv(spark, path, LEXICON)
 
 
 def read_gazetteer(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header: entity, type."""
-    return spark.read.schema(GAZETTEER).csv(path, header=True)
+    """CSV with a header that names entity and type, in any order."""
+    return _named_csv(spark, path, GAZETTEER)
+
+
+def _named_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Columns by name; a missing name, or a file with another header, is an error."""
+    table = spark.read.csv(path, header=True, enforceSchema=False)
+    return table.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))

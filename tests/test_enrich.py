@@ -192,6 +192,46 @@ def test_label_file(spark, tmp_path):
     assert [row.aidr_label for row in label_rejects(table).collect()] == ["c"]
 
 
+def test_headers_are_found_per_file(spark, tmp_path):
+    header = "id\tdate\tlabel\tconf"
+    folder = tmp_path / "labels"
+    folder.mkdir()
+    (folder / "big.txt").write_text("".join(f"{i}\tx\ta\t0.5\n" for i in range(10, 40)))
+    (folder / "small.txt").write_text(f"{header}\n5\tx\tb\t0.1\n")
+    (folder / "other.txt").write_text("post\tday\tkind\tp\n6\tx\tc\t0.1\nabc\tx\td\t0.1\n")
+    ids = sorted((row.id or -1) for row in read_labels(spark, str(folder)).collect())
+    assert ids == [-1, 5, 6, *range(10, 40)]
+    given = read_labels(spark, str(folder), header).collect()
+    assert sorted((row.id or -1) for row in given) == [-1, -1, 5, 6, *range(10, 40)]
+
+
+def test_rejects_list_unreadable_fields_and_missing_ids(spark, tmp_path):
+    date = "Fri Aug 25 10:00:00 +0000 2017"
+    lines = [
+        '{"id":1,"text":"a","created_at":"%s","favorite_count":"many"}' % date,
+        '{"text":"b","created_at":"%s","favorite_count":1}' % date,
+        '{"id":3,"text":"c","created_at":"%s","favorite_count":1}' % date,
+        "no json",
+    ]
+    (tmp_path / "posts.json").write_text("\n".join(lines))
+    rows = enrich.post_rejects(read_raw_posts(spark, str(tmp_path / "posts.json"))).collect()
+    assert sorted((row.id or 0, row.reason) for row in rows) == [
+        (0, "no id"), (0, "unreadable line"), (1, "unreadable field"),
+    ]
+
+
+def test_a_scorer_sees_labelled_posts_only(spark, raw, labels):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("struct<polarity: double, subjectivity: double>")
+    def scorer(texts: pd.Series) -> pd.DataFrame:
+        seen.add(len(texts))
+        return pd.DataFrame({"polarity": texts.str.len() / 1.0, "subjectivity": texts.str.len() / 1.0})
+
+    found = enrich.enrich_posts(raw, labels, scorer=scorer, keep_id=True).collect()
+    assert seen.value <= len({row.id for row in found})
+
+
 def test_empty_label_file(spark, tmp_path):
     (tmp_path / "none.txt").write_text("")
     assert read_labels(spark, str(tmp_path / "none.txt")).count() == 0

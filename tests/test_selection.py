@@ -1,6 +1,7 @@
 """Filters, refinement, means and result tables on hand-written enriched posts."""
 
 import math
+import random
 from datetime import date, datetime
 
 import pytest
@@ -139,6 +140,16 @@ def test_bands(spark):
     assert bands == ["red", "blue", "blue", "green", "green", "green"]
 
 
+def test_captions_round_the_exact_value(spark):
+    rng = random.Random(6)
+    values = [0.00015, 0.33335, -0.00035, 0.00005, -0.00001, 0.0, 1.0, -1.0]
+    values += [rng.uniform(-1, 1) for _ in range(2000)]
+    values += [rng.randint(-9999, 9999) / 10000 + 0.00005 for _ in range(2000)]
+    table = spark.createDataFrame([(v, -v) for v in values], "polarity double, subjectivity double")
+    found = [row.caption for row in views.mean_captions(table).collect()]
+    assert found == [f"{v:.4f}, {-v:.4f}" for v in values]
+
+
 def test_captions(spark):
     table = spark.createDataFrame(
         [("a", 0.123449, -1.0), ("b", None, None), ("c", -0.5, 0.25)],
