@@ -27,11 +27,12 @@ from crisis_posts.llm.shared import Memo, bpe_merge, map_rows
 
 _SPACE = "▁"
 _NO = float("-inf")
+_PAIR = 1 << 24
 _UNIGRAM = 1
 
 
 class Pieces:
-    def __init__(self, path: str, cache_entries: int = 400_000):
+    def __init__(self, path: str, cache_entries: int = 200_000):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = model.get_piece_size()
         self.pieces = [model.id_to_piece(i) for i in range(size)]
@@ -77,9 +78,10 @@ class Pieces:
             run = f"{_SPACE}*[^\\W\\d_{other}]+(?=[{marks}])|{run}"
         return f"{run}|{_SPACE}+" + (f"|[{lone}]" if lone else "")
 
-    def _stay_apart(self, pair: tuple[int, int]) -> bool:
-        """Whether merging leaves the two pieces; a first one of -1 asks for the second alone."""
-        texts = [self.pieces[i] for i in pair if i >= 0]
+    def _stay_apart(self, pair: int) -> bool:
+        """Whether merging leaves two pieces, numbered from 1; a left one of 0 is the start."""
+        left, right = divmod(pair, _PAIR)
+        texts = [self.pieces[i - 1] for i in (left, right) if i]
 
         def rank(a: str, b: str) -> float | None:
             found = self.ids.get(a + b)
@@ -94,7 +96,7 @@ class Pieces:
         for end, (size, number) in self.automaton.iter(run):
             if last[end + 1] == -2:
                 left = last[end + 1 - size]
-                if left != -2 and apart[left, number]:
+                if left != -2 and apart[(left + 1) * _PAIR + number + 1]:
                     last[end + 1] = number
         out, at, sizes = [], len(run), self.sizes
         while at:
@@ -116,7 +118,7 @@ class Pieces:
                 size, number = found[1]
                 before = at - size
                 score = best[before] + self.score[number]
-                if score > best[at] and (not self.merges or self.apart[last[before], number]):
+                if score > best[at] and (not self.merges or self.apart[(last[before] + 1) * _PAIR + number + 1]):
                     best[at], last[at], start[at] = score, number, before
                 found = next(ends, None)
             if best[at] == _NO and run[at - 1] not in self.single:

@@ -13,6 +13,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
+_ROWS_AT_ONCE = 256
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new path below spark.checkpoint.dir, or below the warehouse where that is unset."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -47,11 +50,12 @@ def map_rows(
 
         def incoming():
             for batch in batches:
-                lists = [
-                    column.cast(pa.binary() if pa.types.is_string(column.type) else column.type)
-                    for column in batch.columns
-                ]
-                yield from zip(*(column.to_pylist() for column in lists), strict=True)
+                for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                    columns = [
+                        column.cast(pa.binary() if pa.types.is_string(column.type) else column.type)
+                        for column in batch.slice(at, _ROWS_AT_ONCE).columns
+                    ]
+                    yield from zip(*(column.to_pylist() for column in columns), strict=True)
 
         held, weight = [], 0
         for row in rows(incoming()):

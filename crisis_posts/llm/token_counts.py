@@ -48,7 +48,7 @@ def _in_latin(pattern: str) -> str:
 class PrefixCounter:
     """Counts for a word-level BPE vocabulary file with an end-of-word mark."""
 
-    def __init__(self, path: str, cache_entries: int = 400_000):
+    def __init__(self, path: str, cache_entries: int = 250_000):
         from tokenizers import Regex, Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as file:
