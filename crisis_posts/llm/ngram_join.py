@@ -9,13 +9,14 @@ are verified on the sets themselves.
 How pairs meet: similar sets share one of their first few n-grams in any order that all sets
 agree on (the rest of either set is too small to reach the overlap). The order here is by
 hash, with n-grams that very many documents hold last, so a common passage brings nobody
-together unless a document has little else. Documents that share such a key form a bucket.
+together unless a document has little else. The group of a document is all that share such a
+key with it, where it is the key's smallest holder; so two similar documents are in one group.
 
 1. Equal sets become one class, represented by its smallest doc_id.
-2. In each bucket every member is compared with the smallest one. Linked members form
+2. In each group every member is compared with the smallest one. Linked members form
    components, so that a large group of near copies is settled without its pairs.
-3. Buckets that still hold several components get an R-tree each, which yields the pairs
-   across components that the bound admits. Large buckets are cut into blocks, and each pair
+3. Groups that still hold several components get an R-tree each, which yields the pairs
+   across components that the bound admits. Large groups are cut into blocks, and each pair
    of blocks is a task of its own.
 4. Components over all verified links.
 """
@@ -40,12 +41,12 @@ _SHARE, _OF = 4, 9
 # common shingles are then at most 2,000 times an average set.
 COMMON_FROM = 50
 COMMON_SHARE = 2_000
-_CHUNK = 4_000_000
+_CHUNK = 1_000_000
 _SEEN = 4
-_GROUP_MEAN = 8
+_FOLD = 4
 _FANOUT = 16
-_BLOCK = 2_000
-_VERIFY_GROUP = 1_000
+_BLOCK = 512
+_VERIFY_GROUP = 128
 _BROADCAST_ROWS = 1_000_000
 
 
@@ -68,17 +69,27 @@ def _linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def count_vector(hashes: np.ndarray) -> np.ndarray:
-    """Counts by group; groups are a power of two that follows the size, counts fit a byte."""
-    groups = 32
-    while groups * _GROUP_MEAN < len(hashes):
+    """Counts by group; groups are a power of two, at least half the size, and counts at most 15."""
+    groups = 64
+    while 2 * groups < len(hashes):
         groups *= 2
     while True:
         counts = np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
-        if counts.max(initial=0) <= 255:
+        if counts.max(initial=0) <= 15:
             return counts.astype(np.uint8)
         groups *= 2
 
 
+def packed(vector: np.ndarray) -> bytes:
+    """Two counts to a byte."""
+    return (vector[0::2] | vector[1::2] << 4).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    pairs = np.frombuffer(data, np.uint8)
+    return np.stack([pairs & 15, pairs >> 4], axis=1).ravel()
+
+
 def folded(vector: np.ndarray, groups: int) -> np.ndarray:
     """The vector over fewer groups."""
     return vector.reshape(-1, groups).sum(axis=0, dtype=np.int32)
@@ -121,22 +132,30 @@ class CountTree:
         return self.order[nodes]
 
 
-def bucket_pairs(members: list[tuple]) -> Iterator[tuple[int, int]]:
-    """Pairs of different components that the bound admits; members are (doc, size, component, vector)."""
+def group_pairs(members: list[tuple]) -> Iterator[tuple[int, int]]:
+    """Pairs of different components that the bound admits.
+
+    Members are (doc, size, component, vector). The tree holds folded vectors; what it admits
+    is looked at once more with all groups of the coarser of both vectors.
+    """
     docs, sizes, components = (np.array(x) for x in list(zip(*members, strict=True))[:3])
-    vectors = [np.frombuffer(m[3], np.uint8) for m in members]
+    vectors = [unpacked(m[3]) for m in members]
     lengths = np.array([len(v) for v in vectors])
     for groups in np.unique(lengths):
         own = lengths == groups
         near = np.flatnonzero(own | ((lengths > groups) & (4 * sizes <= 5 * sizes[own].max())))
         if len(near) < 2:
             continue
-        points = np.stack([folded(vectors[i], groups) for i in near])
-        tree = CountTree(points, sizes[near], components[near])
+        fine = np.stack([folded(vectors[i], groups) for i in near])
+        coarse = fine.reshape(len(near), _FOLD, -1).sum(axis=1)
+        tree = CountTree(coarse, sizes[near], components[near])
         for at, i in enumerate(near):
             if own[i]:
-                for j in near[tree.candidates(points[at], sizes[i], components[i])]:
-                    yield (int(docs[i]), int(docs[j])) if docs[i] < docs[j] else (int(docs[j]), int(docs[i]))
+                found = tree.candidates(coarse[at], sizes[i], components[i])
+                bound = np.minimum(fine[found], fine[at]).sum(axis=1)
+                found = near[found[bound >= least_overlap(sizes[i], sizes[near[found]])]]
+                for j in docs[found].tolist():
+                    yield (int(docs[i]), j) if docs[i] < j else (j, int(docs[i]))
 
 
 # The steps
@@ -199,7 +218,7 @@ def _classes(documents: DataFrame, words: int, common: np.ndarray) -> DataFrame:
             else:
                 keys = hashes[:first]
             digest = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
-            yield doc, n, digest, count_vector(hashes).tobytes(), keys.view(np.int64)
+            yield doc, n, digest, packed(count_vector(hashes)), keys.view(np.int64)
 
     schema = "doc_id long, size long, digest binary, vector binary, keys array<long>"
     return (
@@ -240,56 +259,55 @@ def _verified(documents: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     return map_rows(met, "a long, b long", rows_of)
 
 
-def _within_bound(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose count vectors admit a link."""
-    vectors = classes.select("doc_id", "size", "vector")
-    sides = [
-        vectors.select(*(F.col(c).alias(name if c == "doc_id" else f"{c}_{name}") for c in vectors.columns))
-        for name in ("a", "b")
-    ]
-    joined = pairs.join(sides[0], "a").join(sides[1], "b").where(
-        "4 * size_a <= 5 * size_b and 4 * size_b <= 5 * size_a"
-    )
+def _stars(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each group's smallest member and another that the bound admits."""
+
+    def side(name: str, *columns: str) -> DataFrame:
+        named = [F.col("doc_id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns)]
+        return classes.select(*named)
+
+    pairs = (
+        members.where("a < doc_id").withColumnRenamed("doc_id", "b")
+        .join(side("a", "size"), "a").where("4 * size_a <= 5 * size and 4 * size <= 5 * size_a")
+        .join(side("b", "vector"), "b").join(side("a", "vector"), "a")
+    )
 
     def rows_of(rows):
         for a, b, size_a, size_b, vector_a, vector_b in rows:
-            x, y = np.frombuffer(vector_a, np.uint8), np.frombuffer(vector_b, np.uint8)
-            groups = min(len(x), len(y))
-            bound = np.minimum(folded(x, groups), folded(y, groups)).sum()
+            x, y = unpacked(vector_a), unpacked(vector_b)
+            shorter = min(len(x), len(y))
+            bound = np.minimum(folded(x, shorter), folded(y, shorter)).sum()
             if bound >= least_overlap(size_a, size_b):
                 yield a, b
 
-    return map_rows(
-        joined.select("a", "b", "size_a", "size_b", "vector_a", "vector_b"), "a long, b long", rows_of
-    )
+    columns = pairs.select("a", "b", "size_a", "size", "vector_a", "vector_b")
+    return map_rows(columns, "a long, b long", rows_of)
 
 
-def _across(postings: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs (a, b) across components, from one R-tree for each bucket or pair of its blocks."""
-    labelled = postings.join(
+def _across(members: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
+    """Pairs (a, b) across components, from one R-tree for each group or pair of its blocks."""
+    labelled = members.join(
         components.withColumnRenamed("node", "doc_id"), "doc_id", "left"
     ).withColumn("component", F.coalesce("component", "doc_id"))
-    mixed_keys = (
-        labelled.groupBy("key")
+    several = (
+        labelled.groupBy("a")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-        .where("low < high").select("key", F.ceil(F.col("n") / _BLOCK).alias("blocks"))
+        .where("low < high").select("a", F.ceil(F.col("n") / _BLOCK).alias("blocks"))
     )
-    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
     dealt = (
-        labelled.join(mixed_keys, "key")
-        .withColumn("own", own)
+        labelled.join(several, "a").join(classes.select("doc_id", "vector"), "doc_id")
+        .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .join(classes.select("doc_id", "size", "vector"), "doc_id")
         .select(
-            "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+            "a", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
             "doc_id", "size", "component", "vector",
         )
-        .repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+        .repartition("a", "low", "high").sortWithinPartitions("a", "low", "high")
     )
 
     def rows_of(rows):
         for _, group in groupby(rows, lambda row: row[:3]):
-            yield from set(bucket_pairs([row[3:] for row in group]))
+            yield from set(group_pairs([row[3:] for row in group]))
 
     return map_rows(dealt, "a long, b long", rows_of).distinct()
 
@@ -306,14 +324,13 @@ def near_duplicates(documents: DataFrame, words: int = WORDS) -> DataFrame:
     sets = scanned.where("digest is not null").select("doc_id", "size", "digest")
     classes = written(_classes(documents, words, _common(scanned, sets.count())))
 
-    keys = classes.select("doc_id", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    postings = written(keys.join(shared.where("low < high").select("key", "low"), "key"))
+    keys = classes.select("doc_id", "size", F.explode("keys").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("high"))
+    holders = keys.join(shared.where("a < high").select("key", "a"), "key")
+    members = written(holders.select("a", "doc_id", "size").distinct())
 
-    stars = postings.where("low < doc_id").select(F.col("low").alias("a"), F.col("doc_id").alias("b"))
-    links = written(_verified(documents, _within_bound(stars.distinct(), classes), words))
-    components = connected_components(links)
-    rest = _across(postings.select("key", "doc_id"), classes, components)
+    links = written(_verified(documents, _stars(members, classes), words))
+    rest = _across(members, classes, connected_components(links))
     more = written(_verified(documents, rest.join(links, ["a", "b"], "left_anti"), words))
     components = connected_components(links.unionByName(more))
 
