@@ -32,7 +32,7 @@ _UNIGRAM = 1
 
 
 class Pieces:
-    def __init__(self, path: str, cache_entries: int = 200_000):
+    def __init__(self, path: str, cache_entries: int = 300_000):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = model.get_piece_size()
         self.pieces = [model.id_to_piece(i) for i in range(size)]
@@ -58,9 +58,10 @@ class Pieces:
             self.automaton.add_word(piece, (len(piece), number))
         self.automaton.make_automaton()
         self.single = {piece for piece in self.ids if len(piece) == 1}
+        self.longest = max(map(len, self.ids))
         self.sizes = [len(piece) for piece in self.pieces]
         self.runs = re.compile(self._run_pattern())
-        self.apart = Memo(self._stay_apart, cache_entries)
+        self.apart = Memo(self._stay_apart, 2 * cache_entries)
         self.run_ids = Memo(self._encode_run, cache_entries)
 
     def _run_pattern(self) -> str:
@@ -82,6 +83,8 @@ class Pieces:
         """Whether merging leaves two pieces, numbered from 1; a left one of 0 is the start."""
         left, right = divmod(pair, _PAIR)
         texts = [self.pieces[i - 1] for i in (left, right) if i]
+        if len(texts) == 2 and not self._may_cross(*texts):
+            return self.apart[left] and self.apart[right]
 
         def rank(a: str, b: str) -> float | None:
             found = self.ids.get(a + b)
@@ -104,6 +107,12 @@ class Pieces:
             at -= sizes[last[at]]
         return out[::-1]
 
+    def _may_cross(self, left: str, right: str) -> bool:
+        """Whether any piece could hold the end of one and the beginning of the other."""
+        ids = self.ids
+        ends = [left[-i:] for i in range(1, min(len(left), self.longest - 1) + 1)]
+        return any(end + right[:j] in ids for end in ends for j in range(1, len(right) + 1))
+
     def _viterbi(self, run: str) -> list[int]:
         """Best score, last piece and its start for each prefix of a run; then the way back."""
         if self.merges and self.single.issuperset(run):
