@@ -39,6 +39,7 @@ _TOKEN = re.compile(r"[^ \t-\r]+")
 _DIGIT = re.compile(r"[0-9]")
 _EDGE = "()[]{}<>\"'.,;:!?|*#&%$"
 _MAX_TOKEN = 200
+_BROADCAST_SPANS = 1_000_000
 
 
 def luhn(digits: str) -> bool:
@@ -264,8 +265,12 @@ def masked(documents: DataFrame, found: DataFrame) -> DataFrame:
     """
     spans = (
         found.select("doc_id", F.concat("base", "added").alias("spans"))
-        .where(F.size("spans") > 0).dropDuplicates(["doc_id"]).alias("found")
+        .where(F.size("spans") > 0).dropDuplicates(["doc_id"])
     )
+    total = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
+    if total <= _BROADCAST_SPANS:  # else the texts are shuffled to them
+        spans = F.broadcast(spans)
+    spans = spans.alias("found")
     joined = documents.alias("own").join(
         spans, F.col("own.doc_id") == F.col("found.doc_id"), "left"
     )
