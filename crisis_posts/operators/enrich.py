@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from crisis_posts.functions import dates, places
 from crisis_posts.functions.texts import effective_text
 from crisis_posts.operators.sentiment import with_lexicon_sentiment, with_scorer_sentiment
+from crisis_posts.operators.wordtable import MAX_ROWS
 from crisis_posts.schemas import CORRUPT, ENRICHED, PHASE_CUTS, US_STATES
 
 
@@ -82,15 +83,19 @@ def enrich_posts(
     keep_id: bool = False,
     states: Mapping[str, str] = US_STATES,
     phase_cuts: tuple[str, str] = PHASE_CUTS,
+    max_words: int = MAX_ROWS,
 ) -> DataFrame:
-    """The enriched table, scored from ``lexicon`` or by ``scorer`` (one is needed)."""
+    """The enriched table, scored from ``lexicon`` or by ``scorer`` (one is needed).
+
+    ``max_words`` lexicon rows may travel with the tasks; it changes no score.
+    """
     if (lexicon is None) == (scorer is None):
         raise ValueError("give either a lexicon or a scorer")
     posts = derive_columns(drop_reposts(project_posts(raw)), states, phase_cuts)
     if scorer is not None:  # a model is dear: only posts that will stay are scored
         posts = posts.join(labels.select("id").distinct(), "id", "left_semi")
     scored = (
-        with_lexicon_sentiment(posts, lexicon)
+        with_lexicon_sentiment(posts, lexicon, max_rows=max_words)
         if scorer is None
         else with_scorer_sentiment(posts, scorer)
     )

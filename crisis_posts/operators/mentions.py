@@ -29,12 +29,8 @@ def extract_mentions(
     named = posts.filter(F.col(text).isNotNull()).withColumn(
         "_names", names(F.col(text), pattern)
     )
-    types = _types(gazetteer)
-    rows = wordtable.rows_if_small(types, "entity", max_rows)
-    found = (
-        wordtable.with_joined_values(named, text, "_names", types, "entity", "_types")
-        if rows is None
-        else wordtable.with_constant_values(named, "_names", types, "entity", rows, "_types")
+    found = wordtable.with_values(
+        named, text, "_names", _types(gazetteer), "entity", max_rows, "_types"
     )
     entities = F.zip_with(
         "_names",

@@ -21,39 +21,23 @@ def with_lexicon_sentiment(
 
     A repeated word counts each time, a text without a hit scores 0.0 and a null text
     scores null. Lexicon words are matched in lower case; rows of one word are averaged.
+    Hits are summed in the order of the text, however they were looked up; ``max_rows`` is the
+    number of lexicon rows that may travel with the tasks.
     """
     folded = lexicon.dropna(subset=list(MEASURES)).withColumn("word", F.lower("word"))
     table = wordtable.unique_words(folded, "word", F.struct(*[F.avg(m).alias(m) for m in MEASURES]))
-    rows = wordtable.rows_if_small(table, "word", max_rows)
-    if rows is None:
-        return _joined(posts, table, text)
-    found = wordtable.with_constant_values(
-        posts.withColumn("_words", words(F.col(text))), "_words", table, "word", rows, "_values"
-    ).withColumn("_hits", F.filter("_values", F.isnotnull))
+    found = wordtable.with_values(
+        posts.withColumn("_words", words(F.col(text))), text, "_words", table, "word", max_rows,
+        "_values",
+    ).withColumn("_hits", F.filter("_values", F.isnotnull))
 
     def mean(measure: str) -> Column:
         total = F.aggregate("_hits", F.lit(0.0), lambda sum_, hit: sum_ + hit[measure])
         return F.when(F.size("_hits") > 0, total / F.size("_hits"))
 
-    return _with_scores(found, text, mean).drop("_words", "_values", "_hits")
-
-
-def _joined(posts: DataFrame, table: DataFrame, text: str) -> DataFrame:
-    """Scores of texts, known by their digest: copies repeat their hits, so means are equal."""
-    keyed = posts.withColumn("_digest", wordtable.digest(text))
-    means = (
-        keyed.select("_digest", F.explode_outer(words(F.col(text))).alias("word"))
-        .join(table, "word")
-        .groupBy("_digest")
-        .agg(*[F.avg(f"value.{m}").alias(f"_{m}") for m in MEASURES])
-    )
-    scored = _with_scores(keyed.join(means, "_digest", "left"), text, lambda m: F.col(f"_{m}"))
-    return scored.drop("_digest", *[f"_{m}" for m in MEASURES])
-
-
-def _with_scores(posts: DataFrame, text: str, mean: Callable[[str], Column]) -> DataFrame:
     unhit = F.when(F.col(text).isNotNull(), 0.0)
-    return posts.withColumns({f"sentiment_{m}": F.coalesce(mean(m), unhit) for m in MEASURES})
+    scores = {f"sentiment_{m}": F.coalesce(mean(m), unhit) for m in MEASURES}
+    return found.withColumns(scores).drop("_words", "_values", "_hits")
 
 
 def with_scorer_sentiment(

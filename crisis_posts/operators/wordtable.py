@@ -2,8 +2,11 @@
 
 A table of checked size travels with the tasks as one constant: an array of small
 maps, a word's slot being its hash, so a look-up does not scan the table. Posts are
-then scored in the task that reads them. A larger table is joined to the exploded words
-instead, by whatever join its size asks for.
+then scored in the task that reads them. A larger table is first cut to the words that occur
+in the posts, which are counted on the map side. Only if those are too many as well is the
+table joined to the exploded words, by whatever join its size asks for. All ways give the same
+arrays. The sizes are counted when the plan is built: one job over the table and, for a large
+table only, one over the texts.
 
 The explodes are outer ones: for an inner one the optimizer first tests for empty arrays,
 which computes the words twice.
@@ -34,13 +37,29 @@ def rows_if_small(
     return size.rows if size.rows <= max_rows and (size.bytes or 0) <= max_bytes else None
 
 
-def with_constant_values(
-    posts: DataFrame, words: str, table: DataFrame, word: str, rows: int, out: str
+def with_values(
+    posts: DataFrame, text: str, words: str, table: DataFrame, word: str, max_rows: int, out: str
 ) -> DataFrame:
     """Add the array ``out``, parallel to the array ``words``: each word's value or null.
 
-    ``table`` holds ``rows`` unique ``word`` and ``value`` columns.
+    ``table`` holds unique ``word`` and ``value`` columns; ``words`` comes from the column
+    ``text`` alone.
     """
+    rows = rows_if_small(table, word, max_rows)
+    if rows is None:
+        occurring = posts.select(F.explode_outer(words).alias(word)).distinct()
+        cut = table.join(occurring, word, "left_semi")
+        rows = rows_if_small(cut, word, max_rows)
+        if rows is None:
+            return _with_joined_values(posts, text, words, table, word, out)
+        table = cut
+    return _with_constant_values(posts, words, table, word, rows, out)
+
+
+def _with_constant_values(
+    posts: DataFrame, words: str, table: DataFrame, word: str, rows: int, out: str
+) -> DataFrame:
+    """For a table of ``rows`` rows that may travel with the tasks."""
     slots = 1 << (4 * rows).bit_length()
     found = F.transform(words, lambda w: F.get("_maps", _slot(w, slots))[w])
     return (
@@ -50,14 +69,14 @@ def with_constant_values(
     )
 
 
-def with_joined_values(
+def _with_joined_values(
     posts: DataFrame, text: str, words: str, table: DataFrame, word: str, out: str
 ) -> DataFrame:
-    """The same for a table of any size; ``words`` comes from the column ``text`` alone.
+    """For a table of any size.
 
     Copies of a text fold into one set on the map side, in the order of the words.
     """
-    keyed = posts.withColumn("_digest", digest(text))
+    keyed = posts.withColumn("_digest", _digest(text))
     in_order = F.sort_array(F.collect_set(F.struct("position", "value")))
     values = (
         keyed.select("_digest", F.posexplode_outer(words).alias("position", word))
@@ -73,7 +92,7 @@ def with_joined_values(
     )
 
 
-def digest(text: str) -> Column:
+def _digest(text: str) -> Column:
     """Stands for a text as a key, where copies may be treated as one."""
     return F.unhex(F.sha2(F.col(text), 256))
 

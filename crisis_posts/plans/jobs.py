@@ -10,6 +10,7 @@ from importlib import import_module
 from pyspark.sql import Column, SparkSession
 
 from crisis_posts.operators import enrich, mentions
+from crisis_posts.operators.wordtable import MAX_ROWS
 from crisis_posts.sources import labels as label_file
 from crisis_posts.sources import posts as post_files
 from crisis_posts.sources import tables
@@ -28,11 +29,13 @@ def enrichment_job(
     rejects: str | None = None,
     label_header: str | None = None,
     scorer: str | None = None,
+    max_words: int = MAX_ROWS,
 ) -> None:
     """``rejects`` names a JSON directory for unreadable posts; it costs a second scan.
 
     ``scorer`` is the import path (``package.module:name``) of a pandas UDF from text to
-    struct(polarity, subjectivity), which takes the lexicon's place.
+    struct(polarity, subjectivity), which takes the lexicon's place. ``max_words`` is the number
+    of lexicon rows that may travel with the tasks.
     """
     raw = post_files.read_raw_posts(spark, posts)
     enriched = enrich.enrich_posts(
@@ -41,6 +44,7 @@ def enrichment_job(
         None if scorer else tables.read_lexicon(spark, lexicon),
         scorer=_imported(scorer),
         keep_id=keep_id,
+        max_words=max_words,
     )
     post_files.write_enriched(
         enriched, output, fmt, ["phase"] if by_phase else [], ["date"] if by_date else []

@@ -134,14 +134,27 @@ def test_hot_text_scores_alike_on_both_paths(spark, settings):
     )
     both = constant.join(again, "id")
     assert both.count() == 20_000
-    far = (F.abs(F.col("p") - F.col("sentiment_polarity")) > 1e-12) | (
-        F.abs(F.col("s") - F.col("sentiment_subjectivity")) > 1e-12
+    same = F.col("p").eqNullSafe(F.col("sentiment_polarity")) & F.col("s").eqNullSafe(
+        F.col("sentiment_subjectivity")
     )
-    assert both.filter(far).count() == 0
+    assert both.filter(~same).count() == 0
     unscored = joined.filter("sentiment_polarity is null").count()
     assert unscored == posts.filter("text is null").count() > 0
 
 
+def test_a_million_words_are_cut_to_those_that_occur(spark):
+    posts = spark.range(0, 2_000, 1, 8).selectExpr("id", "concat('good storm, the ', id) as text")
+    known = spark.createDataFrame(
+        [("the", 0.1, 0.2), ("good", 0.7, 0.3)], "word string, polarity double, subjectivity double"
+    )
+    strange = spark.range(1_000_000).selectExpr("concat('w', id)", "1.0d", "0.5d")
+    cut = sentiment.with_lexicon_sentiment(posts, known.union(strange))
+    main = initial_plan(cut).split("Subquery")[0]
+    assert "Join" not in main and "Exchange" not in main and "Generate" not in main
+    small = sentiment.with_lexicon_sentiment(posts, known)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, small.collect()))
+
+
 def test_rows_are_sorted_within_a_file(spark, stored, tmp_path):
     path = str(tmp_path / "sorted")
     write_enriched(stored.repartition(2, "name"), path, partition_by=["phase"], sort_by=["date"])

@@ -61,9 +61,11 @@ def test_score_edges(spark, max_rows):
     assert {row.sentiment_polarity for row in empty.collect()} == {0.0, None}
 
 
-def test_a_large_table_is_not_sent_with_the_tasks(spark, documents):
-    lexicon = spark.range(30).selectExpr(
-        "concat('w', id) as word", "1.0d as polarity", "0.5d as subjectivity"
+def test_a_large_table_is_not_sent_with_the_tasks(spark, documents, texts):
+    vocabulary = sorted({w for t in texts.values() for w in re.findall(r"[^\W\d_]+", t.lower())})
+    lexicon = spark.createDataFrame(
+        [(word, 1.0, 0.5) for word in vocabulary[:30]],
+        "word string, polarity double, subjectivity double",
     )
     scored = sentiment.with_lexicon_sentiment(documents, lexicon, max_rows=29)
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
