@@ -1,4 +1,4 @@
-"""Removal of repeated passages, by Aho-Corasick automata over recurring phrases.
+"""Removal of repeated passages, by windows that meet at recurring phrases.
 
 A window is 50 consecutive words of a document. Each window has an anchor, the phrase of 16
 words in it whose hash is smallest (the rightmost of equals), so a window that two documents
@@ -7,24 +7,23 @@ share has the same anchor in both. Neighbouring windows with one anchor form a c
 1. Anchors that occur in several documents are recurring; a bitmap of fixed size marks them.
 2. Documents yield the contexts of marked anchors. A task sends the words of equal contexts
    once, with the smallest doc_id; each occurrence is a row of its own without words.
-3. Contexts are dealt into shards by anchor. A shard compiles the phrases whose contexts
-   differ into automata of bounded size and streams its contexts through them; around each
-   located phrase the windows are compared as words, and each gets the smallest doc_id that
-   holds it.
+3. Each window of a context gets the smallest doc_id that holds it. Contexts of an anchor
+   that has few meet in one task and are compared as words; those of an anchor that has many
+   are cut into windows, which meet by a 128-bit digest of their words, as contexts do.
 4. Each occurrence looks up its context; words under a window that starts in a smaller
    doc_id go.
 
-A false mark in the bitmap only sends a context too many.
+A false mark in the bitmap only sends a context too many. There is no automaton: anchors
+tell where phrases recur.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import groupby
 from operator import itemgetter
 
-import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +34,9 @@ WINDOW = 50
 PHRASE = 16
 _BITMAP_BITS = 26
 _HELD_CONTEXTS = 20_000
-_AUTOMATON_PHRASES = 5_000
-_AUTOMATON_ROWS = 20_000
+# Anchors with more rows of contexts than this never meet in one task.
+_WIDE_ROWS = 1_000
+_RUNS = "anchor long, context binary, runs array<struct<first:long,last:long,doc_id:long>>"
 
 
 def anchors(text: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -82,7 +82,7 @@ def _recurring(documents: DataFrame) -> np.ndarray:
 
 
 def _contexts(documents: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """Occurrences (anchor, context, doc_id, start) and contexts' words (anchor, context, doc_id, place, words)."""
+    """Occurrences (anchor, context, doc_id, start) and contexts' words (anchor, context, doc_id, words)."""
     sent = documents.sparkSession.sparkContext.broadcast(bitmap)
     low_bits = np.uint64((1 << _BITMAP_BITS) - 1)
 
@@ -90,20 +90,20 @@ def _contexts(documents: DataFrame, bitmap: np.ndarray) -> DataFrame:
         marked = sent.value
         held: dict[tuple[int, bytes], list] = {}
         for doc, text in rows:
-            hashes, places, firsts, lasts = anchors(text)
+            hashes, _, firsts, lasts = anchors(text)
             bit = hashes & low_bits
             chosen = np.flatnonzero(marked[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
             if not len(chosen):
                 continue
             words = text.split()
-            columns = (x[chosen].tolist() for x in (hashes.view(np.int64), places, firsts, lasts))
-            for anchor, place, first, last in zip(*columns, strict=True):
+            columns = (x[chosen].tolist() for x in (hashes.view(np.int64), firsts, lasts))
+            for anchor, first, last in zip(*columns, strict=True):
                 context = b" ".join(words[first : last + WINDOW])
                 digest = hashlib.blake2b(context, digest_size=16).digest()
-                yield anchor, digest, doc, first, None, None
+                yield anchor, digest, doc, first, None
                 known = held.get((anchor, digest))
                 if known is None:
-                    held[anchor, digest] = [doc, place - first, context]
+                    held[anchor, digest] = [doc, context]
                 elif doc < known[0]:
                     known[0] = doc
             if len(held) >= _HELD_CONTEXTS:
@@ -111,92 +111,95 @@ def _contexts(documents: DataFrame, bitmap: np.ndarray) -> DataFrame:
                 held = {}
         yield from _flushed(held)
 
-    schema = "anchor long, context binary, doc_id long, start long, place long, words string"
+    schema = "anchor long, context binary, doc_id long, start long, words string"
     return map_rows(documents, schema, rows_of)
 
 
 def _flushed(held: dict) -> Iterator[tuple]:
-    for (anchor, digest), (doc, place, context) in held.items():
-        yield anchor, digest, doc, None, place, context
+    for (anchor, digest), (doc, context) in held.items():
+        yield anchor, digest, doc, None, context
 
 
-def _first_holders(contexts: DataFrame) -> DataFrame:
-    """(anchor, context, runs): runs of windows of a context and the smallest doc_id that holds them."""
-    dealt = (
-        contexts.where("words is not null")
-        .select("anchor", "context", "doc_id", "place", "words")
-        .repartition("anchor").sortWithinPartitions("anchor", "context", "doc_id")
-    )
+def _dealt(contexts: DataFrame, wide_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Contexts of anchors with at most wide_rows rows, and those of anchors with more."""
+    own = contexts.where("start is null").select("anchor", "context", "doc_id", "words")
+    sizes = own.groupBy("anchor").agg(F.count("*").alias("rows"))
+    wide = written(sizes.where(F.col("rows") > wide_rows).select("anchor"))
+    return own.join(wide, "anchor", "left_anti"), own.join(wide, "anchor", "left_semi")
+
+
+def _windows(context: bytes) -> list[bytes]:
+    words = context.split(b" ")
+    return [b" ".join(words[at : at + WINDOW]) for at in range(len(words) - WINDOW + 1)]
+
+
+def _compared(narrow: DataFrame) -> DataFrame:
+    """(anchor, context, runs): the contexts of one anchor, few enough, are compared in one task."""
+    dealt = narrow.repartition("anchor").sortWithinPartitions("anchor", "context", "doc_id")
 
     def rows_of(rows):
-        shard, differing, size = [], [], 0
-        for _, group in groupby(rows, itemgetter(0)):
+        for anchor, group in groupby(rows, itemgetter(0)):
             # The first row of each context has its smallest doc_id.
             own = [next(same) for _, same in groupby(group, itemgetter(1))]
-            if len(own) == 1:
-                anchor, digest, doc, _, words = own[0]
-                last = words.count(b" ") + 1 - WINDOW
-                yield anchor, digest, [{"first": 0, "last": last, "doc_id": doc}]
-                continue
-            _, _, _, place, words = own[0]
-            differing.append(b" ".join(words.split(b" ")[place : place + PHRASE]))
-            shard += own
-            size += len(own)
-            if len(differing) >= _AUTOMATON_PHRASES or size >= _AUTOMATON_ROWS:
-                yield from _located(differing, shard)
-                shard, differing, size = [], [], 0
-        if shard:
-            yield from _located(differing, shard)
-
-    schema = "anchor long, context binary, runs array<struct<first:long,last:long,doc_id:long>>"
-    return map_rows(dealt, schema, rows_of)
-
-
-def _located(phrases: list[bytes], shard: list[tuple]) -> Iterator[tuple]:
-    """The runs of each context, from windows around the phrases that the automaton locates."""
-    automaton = ahocorasick.Automaton()
-    for phrase in phrases:
-        spaced = f" {phrase.decode()} "
-        automaton.add_word(spaced, len(spaced))
-    automaton.make_automaton()
-    first: dict[bytes, int] = {}
-    covered = []
-    for _, _, doc, _, context in shard:
-        words = context.split(b" ")
-        spaced = f" {context.decode()} "
-        starts = {at: number for number, at in enumerate(_spaces(spaced))}
-        windows: dict[int, bytes] = {}
-        for end, length in automaton.iter(spaced):
-            place = starts[end + 1 - length]
-            for at in range(max(0, place + PHRASE - WINDOW), min(place, len(words) - WINDOW) + 1):
-                if at not in windows:
-                    windows[at] = window = b" ".join(words[at : at + WINDOW])
+            first: dict[bytes, int] = {}
+            for _, _, doc, words in own:
+                for window in _windows(words):
                     first[window] = min(first.get(window, doc), doc)
-        covered.append(windows)
-    for (anchor, digest, *_), windows in zip(shard, covered, strict=True):
-        runs: list[dict] = []
-        for at in sorted(windows):
-            doc = first[windows[at]]
-            if runs and runs[-1]["doc_id"] == doc and runs[-1]["last"] == at - 1:
-                runs[-1]["last"] = at
-            else:
-                runs.append({"first": at, "last": at, "doc_id": doc})
-        yield anchor, digest, runs
-
-
-def _spaces(text: str) -> Iterator[int]:
-    at = text.find(" ")
-    while at >= 0:
-        yield at
-        at = text.find(" ", at + 1)
-
-
-def repeated_ranges(documents: DataFrame) -> DataFrame:
+            for _, digest, _, words in own:
+                yield anchor, digest, _runs(first[window] for window in _windows(words))
+
+    return map_rows(dealt, _RUNS, rows_of)
+
+
+def _counted(wide: DataFrame) -> DataFrame:
+    """The same for anchors of any number of contexts: windows meet by a digest of their words.
+
+    Spark takes the smallest doc_id of each window, in each task first; only windows of
+    several doc_ids are looked up. No task needs an anchor's contexts together.
+    """
+
+    def rows_of(rows):
+        for anchor, digest, doc, words in rows:
+            for at, window in enumerate(_windows(words)):
+                yield anchor, digest, doc, at, hashlib.blake2b(window, digest_size=16).digest()
+
+    schema = "anchor long, context binary, doc_id long, at long, window binary"
+    windows = written(map_rows(wide, schema, rows_of))
+    shared = written(
+        windows.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        .where("low < high").select("window", "low")
+    )
+    found = (
+        windows.join(shared, "window", "left")
+        .groupBy("anchor", "context", "at").agg(F.min(F.coalesce("low", "doc_id")).alias("doc"))
+        .groupBy("anchor", "context").agg(F.collect_list(F.struct("at", "doc")).alias("docs"))
+    )
+
+    def runs_of(rows):
+        for anchor, digest, docs in rows:
+            yield anchor, digest, _runs(doc for _, doc in sorted((x["at"], x["doc"]) for x in docs))
+
+    return map_rows(found, _RUNS, runs_of)
+
+
+def _runs(docs: Iterable[int]) -> list[dict]:
+    """Runs of windows with one smallest doc_id, from that of each window in order."""
+    runs: list[dict] = []
+    for at, doc in enumerate(docs):
+        if runs and runs[-1]["doc_id"] == doc:
+            runs[-1]["last"] = at
+        else:
+            runs.append({"first": at, "last": at, "doc_id": doc})
+    return runs
+
+
+def repeated_ranges(documents: DataFrame, wide_rows: int = _WIDE_ROWS) -> DataFrame:
     """(doc_id, ranges): (start, end) word ranges under windows that start in a smaller doc_id."""
     documents = documents.select("doc_id", "text").where("doc_id is not null")
     contexts = written(_contexts(documents, _recurring(documents)))
-    occurrences = contexts.where("words is null").select("anchor", "context", "doc_id", "start")
-    holders = _first_holders(contexts)
+    occurrences = contexts.where("start is not null").select("anchor", "context", "doc_id", "start")
+    narrow, wide = _dealt(contexts, wide_rows)
+    holders = _compared(narrow).union(_counted(wide))
     run = F.col("run")
     return (
         occurrences.join(holders, ["anchor", "context"])
@@ -214,7 +217,7 @@ def repeated_ranges(documents: DataFrame) -> DataFrame:
     )
 
 
-def remove_repeats(documents: DataFrame) -> DataFrame:
+def remove_repeats(documents: DataFrame, wide_rows: int = _WIDE_ROWS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): each text without what smaller ids already hold.
 
     Words are what ASCII white space separates; kept words are joined by one space. A null or
@@ -222,7 +225,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     without doc_id loses nothing. Columns besides doc_id and text are not looked at.
     """
     texts = documents.select("doc_id", "text")
-    joined = texts.join(repeated_ranges(texts), "doc_id", "left").select("doc_id", "text", "ranges")
+    joined = texts.join(repeated_ranges(texts, wide_rows), "doc_id", "left").select("doc_id", "text", "ranges")
 
     def rows_of(rows):
         for doc, text, ranges in rows:

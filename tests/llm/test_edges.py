@@ -140,6 +140,24 @@ def test_repeats_with_changing_neighbours(spark):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in found} == passages(list(texts.items()))
 
 
+def test_repeats_under_an_anchor_of_many_contexts(spark):
+    texts = {
+        doc: " ".join([f"a{doc}_{i}" for i in range(doc % 3 * 20 + 40)] + [f"l{i}" for i in range(70)]
+                      + [f"b{doc % 90}_{i}" for i in range(60)])
+        for doc in range(300)
+    }
+    docs = documents(spark, texts).select("doc_id", "text")
+    contexts = repeats._contexts(docs, repeats._recurring(docs)).localCheckpoint()
+    narrow, wide = repeats._dealt(contexts, 50)
+    assert max(r["count"] for r in narrow.groupBy("anchor").count().collect()) <= 50
+    assert wide.groupBy("anchor").count().where("count > 250").count() > 0
+    assert narrow.count() + wide.count() == contexts.where("words is not null").count()
+    expected = passages(list(texts.items()))
+    for most in (0, 50, 1_000_000):  # all by digests, both ways, all as words
+        found = repeats.remove_repeats(docs, wide_rows=most).collect()
+        assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in found} == expected
+
+
 def test_personal_data_on_odd_texts(spark):
     for row in pii.find_personal_data(documents(spark)).collect():
         spans = [(s.kind, s.start, s.end) for s in row.base]
