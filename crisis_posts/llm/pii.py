@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from crisis_posts.llm.shared import map_rows, written
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 2
+ROUNDS = None  # until nothing changes
 MIN_SEEDS = 5
 MIN_CONFIDENCE = 0.8
 
@@ -40,6 +41,7 @@ _DIGIT = re.compile(r"[0-9]")
 _EDGE = "()[]{}<>\"'.,;:!?|*#&%$"
 _MAX_TOKEN = 200
 _BROADCAST_SPANS = 1_000_000
+_SETTLED = 0.001
 
 
 def luhn(digits: str) -> bool:
@@ -164,41 +166,48 @@ def scan(documents: DataFrame) -> DataFrame:
 
 def learn_patterns(
     scanned: DataFrame,
-    rounds: int = ROUNDS,
+    rounds: int | None = ROUNDS,
     min_seeds: int = MIN_SEEDS,
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
-    """(pattern, kind, confidence, instances): the accepted patterns after the last round."""
-    edges = written(
+    """(pattern, kind, confidence, instances): the accepted patterns after the last round.
+
+    Beliefs and confidences only grow; without a number of rounds they go on until a round adds
+    no pattern and the confidences together grow by less than 0.001.
+    """
+    found = written(
         scanned.select(F.explode("candidates").alias("c"))
         .select(F.explode("c.patterns").alias("pattern"), "c.instance", F.col("c.kind").alias("seed"))
         .groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
     )
-    belief = edges.where("seed is not null").select(
-        "instance", F.col("seed").alias("kind"), F.lit(1.0).alias("belief")
-    ).distinct()
-    # Patterns without any seed can't gain confidence, so they never take part.
-    sizes = edges.groupBy("pattern").agg(
-        F.count("*").alias("instances"), F.count("seed").alias("seeds")
-    ).where(F.col("seeds") >= min_seeds)
-    accepted = None
-    for _ in range(rounds):
+    # Belief is 1 at most, so a pattern of fewer instances never has the support.
+    sizes = written(
+        found.groupBy("pattern").agg(F.count("*").alias("instances"))
+        .where(F.col("instances") >= min_seeds)
+    )
+    edges = written(found.join(sizes, "pattern"))
+    seeds = written(
+        edges.where("seed is not null")
+        .select("instance", F.col("seed").alias("kind"), F.lit(1.0).alias("belief")).distinct()
+    )
+    belief, accepted, before = seeds, None, (0, 0.0)
+    for _ in count() if rounds is None else range(rounds):
         accepted = written(
             edges.join(belief, "instance").groupBy("pattern", "kind")
-            .agg(F.sum("belief").alias("support"))
-            .join(sizes, "pattern")
+            .agg(F.sum("belief").alias("support"), F.max("instances").alias("instances"))
             .withColumn("confidence", F.col("support") / F.col("instances"))
             .where((F.col("confidence") >= min_confidence) & (F.col("support") >= min_seeds))
             .select("pattern", "kind", "confidence", "instances")
         )
+        now = accepted.agg(F.count("*"), F.coalesce(F.sum("confidence"), F.lit(0.0))).first()
+        if now[0] == before[0] and now[1] - before[1] < _SETTLED:
+            break
+        before = now
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))
         grown = (
-            edges.where("seed is null").join(accepted, "pattern")
+            edges.where("seed is null").drop("instances").join(accepted, "pattern")
             .groupBy("instance", "kind").agg((1 - doubt).alias("belief"))
         )
-        seeds = edges.where("seed is not null").select(
-            "instance", F.col("seed").alias("kind"), F.lit(1.0).alias("belief")
-        )
         belief = written(
             seeds.union(grown).groupBy("instance", "kind").agg(F.max("belief").alias("belief"))
         )
