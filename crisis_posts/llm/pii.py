@@ -2,7 +2,7 @@
 
 Seeds are what four plain shapes find: e-mail addresses, IP addresses, card and phone numbers.
 Around seeds and around every other identifier-like token (one that holds several digits or
-an @) stand lexical patterns: the word before, the two words before, or the word before
+an @, or a run of digit groups with single spaces between them) stand lexical patterns: the word before, the two words before, or the word before
 and the word after. Spark scores the graph of patterns and instances in rounds: a pattern's
 confidence for a kind is the mean belief in its distinct instances, an instance's belief is
 one less the chance that all its accepted patterns are wrong, and seeds keep belief 1.
@@ -15,6 +15,7 @@ each pattern and instance, summed before they are shuffled.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from itertools import count
@@ -40,6 +41,15 @@ _TOKEN = re.compile(r"[^ \t-\r]+")
 _DIGIT = re.compile(r"[0-9]")
 _EDGE = "()[]{}<>\"'.,;:!?|*#&%$"
 _MAX_TOKEN = 200
+_PART = re.compile(r"""[^ \t-\r,;|"'<>{}()\[\]=&?#]+""")
+# Tokens of digit groups with one space between them, up to edge punctuation.
+_GROUP = r"[+(]*+[0-9][0-9().+/-]*+"
+_RUN = re.compile(
+    rf"""(?<![^ \t-\r"'\[{{<:*#|]){_GROUP}(?:(?<=[0-9)]) {_GROUP})+(?=[{re.escape(_EDGE)}]*+(?:[ \t-\r]|\Z))"""
+)
+_LEAST_DIGITS = 5
+_WHOLE_DIGITS = 8  # a token of so many, the fewest of a phone's shape, stands alone
+_MOST_DIGITS = 19
 _BROADCAST_SPANS = 1_000_000
 _SETTLED = 0.001
 
@@ -88,7 +98,61 @@ def seed_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def _looks_identifying(token: str) -> bool:
-    return len(token) <= _MAX_TOKEN and ("@" in token or len(_DIGIT.findall(token)) >= 5)
+    return "@" in token or len(_DIGIT.findall(token)) >= _LEAST_DIGITS
+
+
+def _tokens(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of what white space separates; long tokens are cut at punctuation."""
+    for match in _TOKEN.finditer(text):
+        start, end = match.span()
+        if end - start <= _MAX_TOKEN:
+            yield start, end
+        else:
+            yield from (part.span() for part in _PART.finditer(text, start, end))
+
+
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    """Without joining signs at the end and brackets that the run doesn't close itself."""
+    while text[end - 1] in "+-/.(":
+        end -= 1
+    while text[end - 1] == ")" and text.count(")", start, end) > text.count("(", start, end):
+        end -= 1
+    while text[start] == "(" and (
+        text.find(")", start, end) < 0
+        or text.find(")", start, end) == end - 1
+        or text.count("(", start, end) > text.count(")", start, end)
+    ):
+        start, end = start + 1, end - (text[end - 1] == ")")
+    return start, end
+
+
+def _digit_runs(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
+    """(start, end) of digit groups with single spaces between them, outside the spans.
+
+    A run is cut between groups where it would hold more digits than any identifier.
+    """
+    at = 0
+    for a, b in [*sorted(s[1:] for s in spans), (len(text), len(text))]:
+        for match in _RUN.finditer(text, at, a) if a > at else ():
+            start, end, digits = match.start(), match.start(), 0
+            for group in _TOKEN.finditer(text, *match.span()):
+                n = len(_DIGIT.findall(group.group()))
+                if n >= _WHOLE_DIGITS or digits + n > _MOST_DIGITS:
+                    if digits >= _LEAST_DIGITS:
+                        yield _trimmed(text, start, end)
+                    start, digits = group.start(), 0
+                if n >= _WHOLE_DIGITS:
+                    start = group.end() + 1
+                else:
+                    end, digits = group.end(), digits + n
+            if digits >= _LEAST_DIGITS:
+                yield _trimmed(text, start, end)
+        at = max(at, b)
+
+
+def _instance(text: str) -> str:
+    """What stands for an instance in the graph: itself, or a digest if it is long."""
+    return text if len(text) <= _MAX_TOKEN else hashlib.sha256(text.encode()).hexdigest()
 
 
 def _patterns(before: list[str], after: str) -> list[str]:
@@ -108,14 +172,15 @@ def _word(token: str) -> str:
 
 def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple]:
     """(start, end, instance, seed kind or None, patterns): seeds and identifier-like tokens."""
-    if not spans and not _DIGIT.search(text):
+    if "@" not in text and not _DIGIT.search(text):
         return []
-    taken = sorted(spans, key=lambda s: (s[1], -s[2]))
+    runs = [(None, *run) for run in _digit_runs(text, spans)]
+    taken = sorted([*spans, *runs], key=lambda s: (s[1], -s[2]))
     out, reach, recent, i = [], -1, [], 0
     open_rows: list[list] = []  # the last row waits for the word after it
-    for match in _TOKEN.finditer(text):
-        start, end = match.span()
-        word = _word(match.group())
+    for start, end in _tokens(text):
+        token = text[start:end]
+        word = _word(token)
         if open_rows and start >= reach:
             for row in open_rows:
                 out.append((*row[:4], _patterns(row[4], word)))
@@ -123,15 +188,14 @@ def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple]:
         while i < len(taken) and taken[i][1] < end:
             kind, a, b = taken[i]
             if a >= reach:
-                open_rows.append([a, b, text[a:b], kind, list(recent)])
+                open_rows.append([a, b, _instance(text[a:b]), kind, list(recent)])
                 reach = max(reach, b)
             i += 1
         if start >= reach:
-            token = match.group()
             inner = token.strip(_EDGE)
             if _looks_identifying(inner):
                 a = start + token.index(inner)
-                open_rows.append([a, a + len(inner), inner, None, list(recent)])
+                open_rows.append([a, a + len(inner), _instance(inner), None, list(recent)])
                 reach = a + len(inner)
         recent = [*recent[-1:], word]
     out += [(*row[:4], _patterns(row[4], "")) for row in open_rows]
