@@ -3,8 +3,8 @@
 Three shapes find candidates: assignments to names like ``password``, access key ids, and long
 hexadecimal runs. Keys of well-known services are candidates too, but become spans only if
 they look live. Over the whole corpus each candidate value, as a hash, is counted by the
-distinct repositories and owners that hold it: a value that many owners hold is a copied
-example, one that few hold is specific to them and looks live.
+distinct repositories and owners that hold it: a value that many owners or very many
+repositories hold is a copied example, one that few hold is specific to them and looks live.
 """
 
 from __future__ import annotations
@@ -30,10 +30,12 @@ SERVICE_KEY = (
 )
 BASE_KINDS = tuple(shape[0] for shape in SHAPES)
 KINDS = (*BASE_KINDS, "service")
-# Values of this many owners or more are copied examples.
+# Values of this many owners or more, or of this many repositories, are copied examples.
 WIDE_OWNERS = 3
+WIDE_REPOSITORIES = 10
 
 _SPAN = "struct<start:long,rank:int,kind:string,end:long,value:string>"
+_HELD = "struct<start:long,kind:string,repositories:long,owners:long>"
 
 
 def _spans(text: str, rank: int, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -75,15 +77,21 @@ def _spans(text: str, rank: int, kind: str, pattern: str, group: int, least: int
 
 
 def find_secrets(
-    documents: DataFrame, repository: str, owner: str, wide_owners: int = WIDE_OWNERS
+    documents: DataFrame,
+    repository: str,
+    owner: str,
+    wide_owners: int = WIDE_OWNERS,
+    wide_repositories: int = WIDE_REPOSITORIES,
 ) -> DataFrame:
-    """(doc_id, base, added, n_live, n_copied) of each whole text.
+    """(doc_id, base, added, n_live, n_copied, held) of each whole text.
 
     base and added are arrays of (start, rank, kind, end, value), by start, then kind: what the
-    shapes find, and live keys of known services that overlap no base span. n_live and
-    n_copied count the candidates whose value few and many owners hold; owners and
-    repositories that are null count for none. A null or empty text has no span. Rows with the same doc_id share their
-    counts; columns besides those named are not looked at.
+    shapes find, and live keys of known services that overlap no base span. n_copied counts the
+    candidates whose value wide_owners or more owners hold, or wide_repositories or more
+    repositories, n_live the others; owners and repositories that are null count for none.
+    held has (start, kind, repositories, owners) of each candidate, by start. A null or empty
+    text has no span. Rows with the same doc_id share their counts; columns besides those
+    named are not looked at.
     """
     texts = documents.select(
         "doc_id", F.col(repository).alias("repository"), F.col(owner).alias("owner"),
@@ -108,7 +116,10 @@ def find_secrets(
     candidates = scanned.select(
         "doc_id", "repository", "owner", F.explode(F.concat("base", "service")).alias("span")
     ).withColumn("digest", F.sha2("span.value", 256))
-    judged = ownership(candidates).select("digest", (F.col("owners") >= wide_owners).alias("copied"))
+    judged = ownership(candidates).withColumn(
+        "copied", (F.col("owners") >= wide_owners) | (F.col("repositories") >= wide_repositories)
+    )
+    held = F.struct("span.start", "span.kind", "repositories", "owners")
     counted = (
         candidates.drop("repository", "owner").distinct().join(judged, "digest").groupBy("doc_id")
         .agg(
@@ -116,12 +127,14 @@ def find_secrets(
             F.array_sort(
                 F.collect_list(F.when(~F.col("copied") & (F.col("span.kind") == "service"), F.col("span")))
             ).alias("added"),
+            F.array_sort(F.collect_list(held)).alias("held"),
         )
     )
     return scanned.select("doc_id", "base").join(counted, "doc_id", "left").select(
         "doc_id", "base", F.coalesce("added", F.array().cast(f"array<{_SPAN}>")).alias("added"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"),
         F.coalesce("n_copied", F.lit(0)).alias("n_copied"),
+        F.coalesce("held", F.array().cast(f"array<{_HELD}>")).alias("held"),
     )
 
 

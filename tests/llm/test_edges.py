@@ -265,6 +265,22 @@ def test_widely_owned_secrets_are_copies(spark):
     assert (found[9].n_live, found[9].n_copied) == (1, 0)
 
 
+def test_secrets_of_many_repositories_are_copies(spark):
+    key = "key ghp_" + "a1B2" * 9
+    rows = [(i, "password=changeme1 " + key, "hot") for i in range(20)]
+    rows += [(100 + i, "password=nobody123", None) for i in range(20)]
+    rows += [(200 + i, "password=mine12345 key ghp_" + "c3D4" * 9, f"s{i}") for i in range(2)]
+    rows += [(300 + i, "password=unowned12", None) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in scan.find_secrets(docs, "doc_id", "source").collect()}
+    assert (found[0].n_live, found[0].n_copied, found[0].added) == (0, 2, [])
+    assert [tuple(h)[1:] for h in found[0].held] == [("assign", 20, 1), ("service", 20, 1)]
+    assert (found[100].n_live, found[100].n_copied) == (0, 1)
+    assert [tuple(h) for h in found[100].held] == [(0, "assign", 20, 0)]
+    assert found[200].n_live == 2 and len(found[200].added) == 1
+    assert (found[300].n_live, found[300].n_copied) == (1, 0)
+
+
 def test_winnowing_finds_shared_passages(spark):
     shared = " ".join(f"k{i}" for i in range(11))
     texts = {i: f"{'ab ' * i}{shared} {'cd ' * (7 - i)}" for i in range(4)}
