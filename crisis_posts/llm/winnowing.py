@@ -1,10 +1,12 @@
 """Document fingerprints by winnowing, in Spark's own functions only.
 
-A text is cut into words, longer ones into pieces of eight characters. Hashes of runs of four
-pieces are built up from those of shorter runs. Of each window of eight such hashes the
+A text is cut into words; a word of more than eight characters yields a piece of eight at each
+of its positions, so that pieces don't depend on where a long word begins. Hashes of runs of
+four pieces are built up from those of shorter runs. Of each window of eight such hashes the
 smallest is chosen, the rightmost of equals, and kept with its position. So any passage of
-eleven pieces that two texts share leaves a common hash in both fingerprints, and a hash's
-position tells where.
+eleven pieces that two texts share, as eleven words of up to eight characters or eighteen
+characters without spaces, leaves a common hash in both fingerprints, and a hash's position
+tells where.
 """
 
 from __future__ import annotations
@@ -12,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PIECE = r"\S{1,8}"
+# At each position: eight characters, or a whole shorter word.
+_PIECE = r"(?=(\S{8}|(?<!\S)\S{1,7}(?!\S)))\S"
 RUN = 4
 WINDOW = 8
 # A mark holds a hash's upper 40 bits and, below, its position counted downwards, so that the
@@ -29,7 +32,7 @@ def _shifted(values: str, by: int) -> Column:
 def with_marks(table: DataFrame, text: str, marks: str) -> DataFrame:
     """Add the marks of a text column, in order of position; none for a text without words."""
     runs, windows, own = "_runs", "_windows", table.columns
-    table = table.withColumn(runs, F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0)))
+    table = table.withColumn(runs, F.regexp_extract_all(text, F.lit(_PIECE), F.lit(1)))
     table = table.withColumn("_n", F.size(runs))
     table = table.withColumn(runs, F.transform(runs, lambda piece: F.xxhash64(piece)))
     width = 1

@@ -289,6 +289,21 @@ def test_winnowing_finds_shared_passages(spark):
     assert set.intersection(*marks)
 
 
+def test_winnowing_finds_passages_without_spaces(spark):
+    import random
+
+    rng = random.Random(6)
+    passages = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(18)), "4Gx+/🙂é" + "q7Rt0vWz9Lk"]
+    texts = {
+        100 * k + n: "".join(chr(0x3042 + rng.randrange(60)) for _ in range(n)) + passage + "z" * (8 - n)
+        for k, passage in enumerate(passages) for n in range(9)
+    }
+    rows = winnowing.fingerprint_documents(documents(spark, texts)).collect()
+    for k in range(2):
+        marks = [{m >> 24 for m in row.marks} for row in rows if row.doc_id // 100 == k]
+        assert len(marks) == 9 and set.intersection(*marks)
+
+
 def test_winnowing_is_the_plain_rule(spark):
     import random
 
