@@ -3,6 +3,7 @@
 import os
 import random
 import zlib
+from collections import defaultdict
 
 import duckdb
 import pytest
@@ -12,6 +13,7 @@ from brute import (
 from public_tokenizers import path as tokenizer_path
 
 from __spark_entry__ import queries
+from crisis_posts.llm import language, pii
 
 SF_DIR = os.environ.get("LLM_SF_DIR", "/root/testdata/sf0.01")
 
@@ -154,3 +156,72 @@ def test_op10(spark):
     length = {c: r.formatted_chars for c, r in found.items()}
     assert all(length[c] > sum(len(t or "") for k, _, _, t in conversations if k == c) for c in
                random.Random(1).sample(sorted(length), 20) if c >= 0)
+
+
+def masked_texts(texts):
+    """Texts by doc_id with spans replaced: the shapes' and those of patterns, scored round by round."""
+    spans = {doc: personal(text) for doc, text in texts.items()}
+    found = [(doc, *c) for doc, text in texts.items() for c in pii.candidates(text, spans[doc])]
+    seeds = defaultdict(lambda: defaultdict(str))
+    for *_, instance, kind, patterns in found:
+        for pattern in patterns:
+            seeds[pattern][instance] = max(seeds[pattern][instance], kind or "")
+    known = {(i, kind) for own in seeds.values() for i, kind in own.items() if kind}
+    belief, accepted = dict.fromkeys(known, 1.0), {}
+    for _ in range(60):
+        accepted = {}
+        for pattern, own in seeds.items():
+            for kind in pii.KINDS:
+                support = sum(belief.get((i, kind), 0) for i in own)
+                if support >= pii.MIN_SEEDS and support / len(own) >= pii.MIN_CONFIDENCE:
+                    accepted[pattern, kind] = support / len(own)
+        doubt = defaultdict(lambda: 1.0)
+        for (pattern, kind), confidence in accepted.items():
+            for i, seed in seeds[pattern].items():
+                if not seed:
+                    doubt[i, kind] *= max(1 - confidence, 1e-6)
+        belief = {key: 1 - d for key, d in doubt.items()} | dict.fromkeys(known, 1.0)
+    for doc, start, end, _, kind, patterns in found:
+        best = max(((c, k) for (p, k), c in accepted.items() if p in patterns), default=None)
+        if kind is None and best:
+            spans[doc].append((best[1], start, end))
+    out = {}
+    for doc, text in texts.items():
+        out[doc], reach = "", 0
+        for start, end, kind in sorted((s, e, k) for k, s, e in spans[doc]):
+            if start >= reach:
+                out[doc] += text[reach:start] + f"[{kind.upper()}]"
+            reach = max(reach, end)
+        out[doc] += text[reach:]
+    return out
+
+
+def test_pipeline(spark, tmp_path):
+    import sentencepiece
+
+    phones = "SELECT 900000 + i, 'call +1 (269) 555-' || (1000 + i) || ' about lot ' || sha256(i::varchar), 'en', 's', 0 FROM range(30) t(i)"
+    odd = "SELECT 910000, 'call 030 123 4567 about lot of the old house', 'en', 's', 0"
+    source = "/root/testdata/sf0.001"
+    duckdb.sql(f"COPY (SELECT * FROM '{source}/documents.parquet' UNION ALL {phones} UNION ALL {odd}) TO '{tmp_path}/documents.parquet'")
+    duckdb.sql(f"COPY (SELECT * FROM '{source}/benchmark.parquet') TO '{tmp_path}/benchmark.parquet'")
+    docs = duckdb.sql(f"SELECT doc_id, text FROM '{tmp_path}/documents.parquet'").fetchall()
+    benchmark = duckdb.sql(f"SELECT item_id, text FROM '{tmp_path}/benchmark.parquet'").fetchall()
+    table = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    compressors = language.Compressors(language.learn_dictionaries(table.where(~language.held_out())))
+    sizes = [len(docs)]
+    judged = {doc: compressors.classify((text or "").encode()) for doc, text in docs}
+    docs = [(d, t) for d, t in docs if judged[d][0] != "und" and judged[d][1] >= language.MIN_MARGIN]
+    sizes.append(len(docs))
+    groups = components(docs)
+    docs = [(d, t) for d, t in docs if groups[d][1] == d]
+    sizes.append(len(docs))
+    leaks = contamination(docs, benchmark)
+    docs = [(d, t) for d, t in docs if not leaks[d][2]]
+    sizes.append(len(docs))
+    assert len(set(sizes[1:])) == 3  # the middle stages drop some
+    texts = masked_texts(dict(docs))
+    assert texts[910000].startswith("call [PHONE] about")
+    library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    rows = queries()["pipeline"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: list(r.ids) for r in rows} == {d: library.encode(t) for d, t in texts.items()}
+    assert all(r.n_pieces == len(r.ids) for r in rows) and len(rows) == len(texts)
