@@ -19,9 +19,9 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a clear language. Dictionaries come from the labelled ones."""
-    dictionaries = language.learn_dictionaries(docs.where(~language.held_out()))
-    return _without(docs, language.identify_language(docs, dictionaries).where("rejected"))
+    """Drop documents without a clear language. Dictionaries and margin come from the labelled ones."""
+    dictionaries, margin = language.learn(docs.where(~language.held_out()))
+    return _without(docs, language.identify_language(docs, dictionaries, margin).where("rejected"))
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,8 +85,8 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
-    dictionaries = language.learn_dictionaries(documents.where(~language.held_out()))
-    predicted = language.identify_language(documents, dictionaries)
+    dictionaries, margin = language.learn(documents.where(~language.held_out()))
+    predicted = language.identify_language(documents, dictionaries, margin)
     return predicted.select(
         "doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected"
     )

@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from functools import cache
 
+import numpy as np
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ from crisis_posts.llm.shared import map_rows
 SAMPLE_ROWS = 96
 SAMPLE_CHARS = 2_000
 MIN_MARGIN = 0.001
+MARGIN_PERCENTILE = 0.5
+FOLDS = 4
 PIECE = 1_000
 UNKNOWN = "und"
 _LEVEL = 3
@@ -36,12 +39,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
-def learn_dictionaries(
-    labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS
-) -> dict[str, bytes]:
-    """Raw dictionary per language from (doc_id, text, lang); rows with nulls teach nothing.
+def _sample(labelled: DataFrame, sample_rows: int, sample_chars: int) -> dict[str, list[str]]:
+    """Learning texts per language from (doc_id, text, lang), in order of their ids.
 
-    The sample's ids are chosen without the texts; each task keeps at most sample_rows rows
+    Rows with nulls teach nothing. The sample's ids are chosen without the texts; each task keeps at most sample_rows rows
     of a language before rows meet. What reaches the driver is bounded by both parameters.
     """
     labelled = labelled.select("doc_id", "text", "lang").where(
@@ -60,10 +61,40 @@ def learn_dictionaries(
     texts: dict[str, list[tuple]] = {}
     for row in sample.collect():
         texts.setdefault(row["lang"], []).append((row["doc_id"], row["text"]))
-    return {
-        lang: "\n".join(text for _, text in sorted(rows)).encode()
-        for lang, rows in sorted(texts.items())
-    }
+    return {lang: [text for _, text in sorted(rows)] for lang, rows in sorted(texts.items())}
+
+
+def _joined(texts: dict[str, list[str]]) -> dict[str, bytes]:
+    return {lang: "\n".join(own).encode() for lang, own in texts.items()}
+
+
+def learn_dictionaries(
+    labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS
+) -> dict[str, bytes]:
+    """Raw dictionary per language from (doc_id, text, lang)."""
+    return _joined(_sample(labelled, sample_rows, sample_chars))
+
+
+def learn(
+    labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS
+) -> tuple[dict[str, bytes], float]:
+    """The dictionaries, and the margin below which texts are to be rejected.
+
+    A learning row's margin is taken with dictionaries of the other folds' rows. The margin is
+    the MARGIN_PERCENTILE of those of rightly classified rows, MIN_MARGIN at least.
+    """
+    texts = _sample(labelled, sample_rows, sample_chars)
+    margins = []
+    for fold in range(FOLDS):
+        others = {k: [t for i, t in enumerate(own) if i % FOLDS != fold] for k, own in texts.items()}
+        compressors = Compressors(_joined({k: own for k, own in others.items() if own}))
+        for lang, own in texts.items():
+            for text in own[fold::FOLDS]:
+                found, margin = compressors.classify(text.encode())
+                if found == lang:
+                    margins.append(margin)
+    least = float(np.percentile(margins, MARGIN_PERCENTILE)) if margins else 0.0
+    return _joined(texts), max(MIN_MARGIN, least)
 
 
 def letters(text: str) -> bytes:

@@ -158,6 +158,21 @@ def test_op10(spark):
                random.Random(1).sample(sorted(length), 20) if c >= 0)
 
 
+def test_texts_of_random_letters_are_rejected(spark):
+    rng = random.Random(1)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    dictionaries, margin = language.learn(docs.where(~language.held_out()))
+    noise = [
+        (i, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(400)))
+        for i in range(50)
+    ]
+    noise = spark.createDataFrame(noise, "doc_id long, text string")
+    assert language.identify_language(noise, dictionaries).where("rejected").count() < 25
+    assert language.identify_language(noise, dictionaries, margin).where("rejected").count() == 50
+    clean = language.identify_language(docs.where("lang is not null"), dictionaries, margin)
+    assert clean.where("rejected").count() < 0.05 * clean.count()
+
+
 def masked_texts(texts):
     """Texts by doc_id with spans replaced: the shapes' and those of patterns, scored round by round."""
     spans = {doc: personal(text) for doc, text in texts.items()}
@@ -207,10 +222,11 @@ def test_pipeline(spark, tmp_path):
     docs = duckdb.sql(f"SELECT doc_id, text FROM '{tmp_path}/documents.parquet'").fetchall()
     benchmark = duckdb.sql(f"SELECT item_id, text FROM '{tmp_path}/benchmark.parquet'").fetchall()
     table = spark.read.parquet(f"{tmp_path}/documents.parquet")
-    compressors = language.Compressors(language.learn_dictionaries(table.where(~language.held_out())))
+    dictionaries, margin = language.learn(table.where(~language.held_out()))
+    compressors = language.Compressors(dictionaries)
     sizes = [len(docs)]
     judged = {doc: compressors.classify((text or "").encode()) for doc, text in docs}
-    docs = [(d, t) for d, t in docs if judged[d][0] != "und" and judged[d][1] >= language.MIN_MARGIN]
+    docs = [(d, t) for d, t in docs if judged[d][0] != "und" and judged[d][1] >= margin]
     sizes.append(len(docs))
     groups = components(docs)
     docs = [(d, t) for d, t in docs if groups[d][1] == d]
