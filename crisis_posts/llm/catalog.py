@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crisis_posts.llm import (
-    chat, decontaminate, language, ngram_join, passages, pieces, pii, secrets, token_counts, winnowing,
+    chat, decontaminate, divergence, language, ngram_join, passages, pieces, pii, secrets,
+    token_counts, winnowing,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +135,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = _table(spark, sf_dir, "conversations").select(columns)
     planted = spark.createDataFrame(PLANTED_CONVERSATION, "conv_id long, turn long, role string, text string")
     return chat.conversation_digests(conversations.unionByName(planted))
+
+
+@register
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(_table(spark, sf_dir, "documents"))
