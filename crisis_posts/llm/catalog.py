@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crisis_posts.llm import (
-    chat, decontaminate, divergence, language, ngram_join, passages, pieces, pii, secrets,
+    alignment, chat, decontaminate, divergence, language, ngram_join, passages, pieces, pii, secrets,
     token_counts, winnowing,
 )
 
@@ -140,3 +140,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit_sources(_table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align_documents(
+        _table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+        tokenizer_path("piece_bpe_32k.model"), digests=True,
+    )
+    return found.withColumnRenamed("groups", "groups_sha256")
