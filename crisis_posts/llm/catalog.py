@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crisis_posts.llm import (
-    alignment, chat, decontaminate, divergence, language, ngram_join, passages, pieces, pii, secrets,
+    alignment, chat, decontaminate, divergence, language, licenses, ngram_join, passages, pieces, pii, secrets,
     token_counts, winnowing,
 )
 
@@ -142,6 +142,19 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit_sources(_table(spark, sf_dir, "documents"))
 
 
+@register
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(_table(spark, sf_dir, "documents"))
+    base_labels, starts = F.col("base.label"), F.col("base.start")
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base_labels)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base_labels, F.col("found.label"))), ",").alias("labels"),
+        "score",
+    )
+
+
 @register
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = alignment.align_documents(

@@ -165,3 +165,88 @@ def chats(conversations):
         joined = "".join(f"{role}\n{text}\n" for _, role, text in turns)
         out[conv] = (len(turns), sha(joined), len(loss), sha(loss))
     return out
+
+
+def source_audit(rows, min_docs, most=50):
+    """op11: {(lang, source, part, item, value, rank)} for rows of (lang, source, text)."""
+    groups, docs, langs = defaultdict(lambda: defaultdict(int)), defaultdict(lambda: defaultdict(int)), {}
+    for lang, source, text in rows:
+        lang, source = lang or "", source or ""
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", ascii_lower(text or ""))
+        groups[lang, source]
+        for term in terms:
+            groups[lang, source][term] += 1
+        for term in set(terms):
+            docs[lang][term] += 1
+    out = set()
+    for lang in {lang for lang, _ in groups}:
+        kept = [t for t, n in docs[lang].items() if n >= min_docs]
+        sources = [s for other, s in groups if other == lang]
+
+        def shares(counts):
+            total = sum(counts.get(t, 0) for t in kept) + 5 * len(kept)
+            return {t: 1 + 10**9 * (counts.get(t, 0) + 5) // total for t in kept}
+
+        whole = defaultdict(int)
+        for s in sources:
+            for t, n in groups[lang, s].items():
+                whole[t] += n
+        q, p = shares(whole), {s: shares(groups[lang, s]) for s in sources}
+        for s in sources:
+            pair = [(o, sum(abs(p[s][t] - p[o][t]) for t in kept)) for o in sources if o != s]
+            term = [(t, p[s][t] - q[t]) for t in kept if groups[lang, s].get(t) and p[s][t] > q[t]]
+            for part, items, last in (("pair", pair, len(pair)), ("term", term, most)):
+                items.sort(key=lambda x: (-x[1], x[0].encode()))
+                for rank, (item, value) in enumerate(items[:last], 1):
+                    out.add((lang, s, part, item, value, rank))
+    return out
+
+
+PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+
+
+def license_places(text):
+    """op12: (number of words, [(start, label)] of all places of the phrases)."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(text or ""))
+    out = []
+    for phrase, label in PHRASES.items():
+        wanted = phrase.split()
+        out += [(i, label) for i in range(len(words)) if words[i : i + len(wanted)] == wanted]
+    return len(words), sorted(out)
+
+
+def alignments(texts, a, a_bytes, b, b_bytes):
+    """op13: per text (n_a, n_b, n_groups, n_links, n_best, count_sum, groups), for the libraries a and b."""
+    aligned = []
+    for text in texts:
+        ids = ([], [])
+        if text:
+            ids = (a.encode(" " + text, add_special_tokens=False).ids, b.encode(text))
+        spelled = [[table[i] for i in own] for own, table in zip(ids, (a_bytes, b_bytes), strict=True)]
+        if any(b"".join(own) != b" " + text.encode() for own in spelled if text):
+            ids, spelled = ([], []), [[], []]
+        ends = [[sum(map(len, own[: i + 1])) for i in range(len(own))] for own in spelled]
+        groups, links, at = [], [], [0, 0]
+        for end in sorted(set(ends[0]) & set(ends[1])):
+            own = []
+            for side in (0, 1):
+                start, at[side] = at[side], ends[side].index(end) + 1
+                own.append(range(start, at[side]))
+            spans = [{i: (ends[s][i] - len(spelled[s][i]), ends[s][i]) for i in own[s]} for s in (0, 1)]
+            links += [
+                (ids[0][i], ids[1][j]) for i, (s, e) in spans[0].items() for j, (t, f) in spans[1].items()
+                if max(s, t) < min(e, f)
+            ]
+            groups.append("|".join(",".join(str(ids[s][i]) for i in own[s]) for s in (0, 1)))
+        aligned.append((len(ids[0]), len(ids[1]), groups, links))
+    held, best = defaultdict(int), defaultdict(int)
+    for *_, links in aligned:
+        for pair in set(links):
+            held[pair] += 1
+    for (first, _), n in held.items():
+        best[first] = max(best[first], n)
+    return [
+        (n_a, n_b, len(groups), len(links), sum(held[x] == best[x[0]] for x in links),
+         sum(held[x] for x in links), ";".join(groups))
+        for n_a, n_b, groups, links in aligned
+    ]
