@@ -22,6 +22,7 @@ def main() -> None:
     enrich.add_argument("--rejects")
     enrich.add_argument("--label-header", help="the label file's header line")
     enrich.add_argument("--scorer", metavar="MODULE:NAME", help="pandas UDF instead of the lexicon")
+    enrich.add_argument("--modifiers", help="CSV of negators and boosters")
     enrich.add_argument("--max-words", type=int, default=MAX_ROWS, help="lexicon rows sent with tasks")
 
     entities = commands.add_parser("entities", help="enriched table to entity counts")

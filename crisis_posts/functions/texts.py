@@ -16,6 +16,10 @@ NAME = (
     r"|\p{Lu}|[\p{Ll}\p{Lt}\p{Lm}\p{Lo}\p{M}][\p{L}\p{M}]*"
 )
 
+# A word with its inner apostrophes, or a mark that ends a clause.
+TOKEN = r"([\p{L}\p{M}]+(?:['’][\p{L}\p{M}]+)*|[.,;:!?])"
+CLAUSE_MARKS = (".", ",", ";", ":", "!", "?")
+
 
 def effective_text(truncated: Column, text: Column, full_text: Column) -> Column:
     """The full text of a truncated post, else its text (also when the flag is null)."""
@@ -26,6 +30,11 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(1))
 
 
+def tokens(text: Column) -> Column:
+    """Words in lower case and the marks between clauses, in order."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(1))
+
+
 def names(text: Column, pattern: str = NAME) -> Column:
     """Every match of the pattern's first group, in order, from the whole text.
 

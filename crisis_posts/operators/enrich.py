@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from crisis_posts.functions import dates, places
 from crisis_posts.functions.texts import effective_text
+from crisis_posts.operators.scope import with_scoped_sentiment
 from crisis_posts.operators.sentiment import with_lexicon_sentiment, with_scorer_sentiment
 from crisis_posts.operators.wordtable import MAX_ROWS
 from crisis_posts.schemas import CORRUPT, ENRICHED, PHASE_CUTS, US_STATES
@@ -84,9 +85,11 @@ def enrich_posts(
     states: Mapping[str, str] = US_STATES,
     phase_cuts: tuple[str, str] = PHASE_CUTS,
     max_words: int = MAX_ROWS,
+    modifiers: DataFrame | None = None,
 ) -> DataFrame:
     """The enriched table, scored from ``lexicon`` or by ``scorer`` (one is needed).
 
+    With ``modifiers`` the lexicon is read with scope: negation, boosters, entries of several words.
     ``max_words`` lexicon rows may travel with the tasks; it changes no score.
     """
     if (lexicon is None) == (scorer is None):
@@ -94,11 +97,12 @@ def enrich_posts(
     posts = derive_columns(drop_reposts(project_posts(raw)), states, phase_cuts)
     if scorer is not None:  # a model is dear: only posts that will stay are scored
         posts = posts.join(labels.select("id").distinct(), "id", "left_semi")
-    scored = (
-        with_lexicon_sentiment(posts, lexicon, max_rows=max_words)
-        if scorer is None
-        else with_scorer_sentiment(posts, scorer)
-    )
+    if scorer is not None:
+        scored = with_scorer_sentiment(posts, scorer)
+    elif modifiers is not None:
+        scored = with_scoped_sentiment(posts, lexicon, modifiers, max_rows=max_words)
+    else:
+        scored = with_lexicon_sentiment(posts, lexicon, max_rows=max_words)
     return join_labels(scored, labels).select(*(["id"] if keep_id else []), *ENRICHED.names)
 
 

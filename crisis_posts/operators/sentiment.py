@@ -26,18 +26,18 @@ def with_lexicon_sentiment(
     """
     folded = lexicon.dropna(subset=list(MEASURES)).withColumn("word", F.lower("word"))
     table = wordtable.unique_words(folded, "word", F.struct(*[F.avg(m).alias(m) for m in MEASURES]))
-    found = wordtable.with_values(
+    found = wordtable.with_hits(
         posts.withColumn("_words", words(F.col(text))), text, "_words", table, "word", max_rows,
-        "_values",
-    ).withColumn("_hits", F.filter("_values", F.isnotnull))
+        "_hits",
+    )
 
     def mean(measure: str) -> Column:
-        total = F.aggregate("_hits", F.lit(0.0), lambda sum_, hit: sum_ + hit[measure])
+        total = F.aggregate("_hits", F.lit(0.0), lambda sum_, hit: sum_ + hit["value"][measure])
         return F.when(F.size("_hits") > 0, total / F.size("_hits"))
 
     unhit = F.when(F.col(text).isNotNull(), 0.0)
     scores = {f"sentiment_{m}": F.coalesce(mean(m), unhit) for m in MEASURES}
-    return found.withColumns(scores).drop("_words", "_values", "_hits")
+    return found.withColumns(scores).drop("_words", "_hits")
 
 
 def with_scorer_sentiment(

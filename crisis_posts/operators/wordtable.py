@@ -12,6 +12,8 @@ The explodes are outer ones: for an inner one the optimizer first tests for empt
 which computes the words twice.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,49 +47,94 @@ def with_values(
     ``table`` holds unique ``word`` and ``value`` columns; ``words`` comes from the column
     ``text`` alone.
     """
-    rows = rows_if_small(table, word, max_rows)
-    if rows is None:
-        occurring = posts.select(F.explode_outer(words).alias(word)).distinct()
-        cut = table.join(occurring, word, "left_semi")
-        rows = rows_if_small(cut, word, max_rows)
-        if rows is None:
-            return _with_joined_values(posts, text, words, table, word, out)
-        table = cut
-    return _with_constant_values(posts, words, table, word, rows, out)
+    table, rows = _cut(posts, words, table, word, max_rows)
+    if rows is not None:
+        return _with_constant(posts, table, word, rows, out, lambda value: F.transform(words, value))
+    found = _with_joined_hits(posts, text, words, table, word, "_found")
+    # Every position follows as a miss; a hit comes before the miss of its position.
+    kind = found.schema["_found"].dataType.elementType["value"].dataType
+    hits = F.transform("_found", lambda x: F.struct(x["position"], F.lit(0).alias("miss"), x["value"]))
+    misses = F.transform(
+        words,
+        lambda _, i: F.struct(
+            i.alias("position"), F.lit(1).alias("miss"), F.lit(None).cast(kind).alias("value")
+        ),
+    )
+    order = lambda a, b: F.when(a["position"] == b["position"], a["miss"] - b["miss"]).otherwise(
+        a["position"] - b["position"]
+    )
+    both = found.withColumn("_found", F.array_sort(F.concat(hits, misses), order))
+    first = F.filter(
+        "_found",
+        lambda x, i: (i == 0) | (F.get("_found", i - 1)["position"] != x["position"]),
+    )
+    return both.withColumn(out, F.transform(first, lambda x: x["value"])).drop("_found")
 
 
-def _with_constant_values(
-    posts: DataFrame, words: str, table: DataFrame, word: str, rows: int, out: str
+def with_hits(
+    posts: DataFrame, text: str, words: str, table: DataFrame, word: str, max_rows: int, out: str
 ) -> DataFrame:
-    """For a table of ``rows`` rows that may travel with the tasks."""
+    """Add the array ``out`` of struct(position, value): the words the table holds, in order.
+
+    As ``with_values`` without the words that it does not hold.
+    """
+    table, rows = _cut(posts, words, table, word, max_rows)
+    if rows is None:
+        return _with_joined_hits(posts, text, words, table, word, out)
+
+    def hits(value):
+        every = F.transform(
+            words, lambda w, i: F.struct(i.alias("position"), value(w).alias("value"))
+        )
+        return F.filter(every, lambda x: x["value"].isNotNull())
+
+    return _with_constant(posts, table, word, rows, out, hits)
+
+
+def _cut(
+    posts: DataFrame, words: str, table: DataFrame, word: str, max_rows: int
+) -> tuple[DataFrame, int | None]:
+    """The table, cut to the words that occur if it is large, and its rows if it may travel."""
+    rows = rows_if_small(table, word, max_rows)
+    if rows is not None:
+        return table, rows
+    occurring = posts.select(F.explode_outer(words).alias(word)).distinct()
+    cut = table.join(occurring, word, "left_semi")
+    rows = rows_if_small(cut, word, max_rows)
+    return (table, None) if rows is None else (cut, rows)
+
+
+def _with_constant(
+    posts: DataFrame, table: DataFrame, word: str, rows: int, out: str,
+    found: Callable[[Callable[[Column], Column]], Column],
+) -> DataFrame:
+    """For a table of ``rows`` rows that may travel; ``found`` makes the array of a look-up."""
     slots = 1 << (4 * rows).bit_length()
-    found = F.transform(words, lambda w: F.get("_maps", _slot(w, slots))[w])
     return (
         posts.withColumn("_maps", _constant(table, word, slots))
-        .withColumn(out, found)
+        .withColumn(out, found(lambda w: F.get("_maps", _slot(w, slots))[w]))
         .drop("_maps")
     )
 
 
-def _with_joined_values(
+def _with_joined_hits(
     posts: DataFrame, text: str, words: str, table: DataFrame, word: str, out: str
 ) -> DataFrame:
-    """For a table of any size.
+    """For a table of any size: only the words that it holds are gathered.
 
     Copies of a text fold into one set on the map side, in the order of the words.
     """
     keyed = posts.withColumn("_digest", _digest(text))
-    in_order = F.sort_array(F.collect_set(F.struct("position", "value")))
-    values = (
+    hits = (
         keyed.select("_digest", F.posexplode_outer(words).alias("position", word))
-        .filter(F.col("position").isNotNull())
-        .join(table, word, "left")
+        .join(table, word)
         .groupBy("_digest")
-        .agg(F.transform(in_order, lambda x: x["value"]).alias(out))
+        .agg(F.sort_array(F.collect_set(F.struct("position", "value"))).alias(out))
     )
+    kind = hits.schema[out].dataType
     return (
-        keyed.join(values, "_digest", "left")
-        .withColumn(out, F.coalesce(out, F.array()))
+        keyed.join(hits, "_digest", "left")
+        .withColumn(out, F.coalesce(out, F.array().cast(kind)))
         .drop("_digest")
     )
 

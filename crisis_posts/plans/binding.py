@@ -23,6 +23,20 @@ LEXICON = (
     {"word": "and", "polarity": 0.1, "subjectivity": 0.2},
     {"word": "in", "polarity": -0.2, "subjectivity": 0.5},
 )
+# For scores with scope: more entries, some of several words, and what modifies them.
+SCOPED_LEXICON = (
+    *LEXICON,
+    {"word": "of the", "polarity": -0.9, "subjectivity": 0.3},
+    {"word": "of the and", "polarity": 0.7, "subjectivity": 0.8},
+    {"word": "that", "polarity": 0.3, "subjectivity": 0.6},
+)
+MODIFIERS = (
+    {"word": "to", "kind": "negator", "factor": -0.5},
+    {"word": "by", "kind": "negator", "factor": -0.8},
+    {"word": "is", "kind": "booster", "factor": 1.5},
+    {"word": "was", "kind": "booster", "factor": 0.5},
+    {"word": "that", "kind": "booster", "factor": 1.25},
+)
 GAZETTEER = (
     {"entity": "The", "type": "ART"},
     {"entity": "Of", "type": "PREP"},
@@ -63,6 +77,14 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return literals.rows(spark, LEXICON, "word string, polarity double, subjectivity double")
 
 
+def scoped_lexicon(spark: SparkSession) -> DataFrame:
+    return literals.rows(spark, SCOPED_LEXICON, "word string, polarity double, subjectivity double")
+
+
+def modifiers(spark: SparkSession) -> DataFrame:
+    return literals.rows(spark, MODIFIERS, "word string, kind string, factor double")
+
+
 def gazetteer(spark: SparkSession) -> DataFrame:
     return literals.rows(spark, GAZETTEER, "entity string, type string")
 

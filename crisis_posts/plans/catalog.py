@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crisis_posts.functions import texts
-from crisis_posts.operators import enrich, mentions, sentiment, views
+from crisis_posts.operators import enrich, mentions, scope, sentiment, views
 from crisis_posts.operators.selection import PostQuery
 from crisis_posts.plans import binding
 from crisis_posts.sources.labels import label_rejects, parse_label_lines
@@ -157,6 +157,25 @@ def sentiment_score_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scores(spark, sf_dir, max_rows=0)
 
 
+def _scoped_scores(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
+    posts = _documents(spark, sf_dir).select("doc_id", "text")
+    scored = scope.with_scoped_sentiment(
+        posts, binding.scoped_lexicon(spark), binding.modifiers(spark), **options
+    )
+    return _rounded(scored.drop("text"), "sentiment_polarity", "sentiment_subjectivity")
+
+
+@register
+def sentiment_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With negation, boosters and entries of several words."""
+    return _scoped_scores(spark, sf_dir)
+
+
+@register
+def sentiment_scoped_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scoped_scores(spark, sf_dir, max_rows=0)
+
+
 def _mention_lists(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
     return mentions.extract_mentions(
         _documents(spark, sf_dir), binding.gazetteer(spark), **options

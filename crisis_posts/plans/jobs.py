@@ -30,12 +30,14 @@ def enrichment_job(
     label_header: str | None = None,
     scorer: str | None = None,
     max_words: int = MAX_ROWS,
+    modifiers: str | None = None,
 ) -> None:
     """``rejects`` names a JSON directory for unreadable posts; it costs a second scan.
 
     ``scorer`` is the import path (``package.module:name``) of a pandas UDF from text to
     struct(polarity, subjectivity), which takes the lexicon's place. ``max_words`` is the number
-    of lexicon rows that may travel with the tasks.
+    of lexicon rows that may travel with the tasks. ``modifiers`` names a CSV of negators and
+    boosters; with it the lexicon is read with scope.
     """
     raw = post_files.read_raw_posts(spark, posts)
     enriched = enrich.enrich_posts(
@@ -45,6 +47,7 @@ def enrichment_job(
         scorer=_imported(scorer),
         keep_id=keep_id,
         max_words=max_words,
+        modifiers=tables.read_modifiers(spark, modifiers) if modifiers else None,
     )
     post_files.write_enriched(
         enriched, output, fmt, ["phase"] if by_phase else [], ["date"] if by_date else []

@@ -140,6 +140,65 @@ select id as doc_id, round(polarity, 8) as sentiment_polarity,
 from scored
 """
 
+# The state machine of scores with scope, folded over the tokens that mean something.
+_SCOPED_SCORES = """
+with docs as (select doc_id as id, text from documents),
+meaning(word, p, s, negate, boost) as (
+  values ('the', 0.5::double, 0.4::double, null::double, null::double), ('of', -0.6, 0.9, null, null),
+    ('and', 0.1, 0.2, null, null), ('in', -0.2, 0.5, null, null), ('of the', -0.9, 0.3, null, null),
+    ('of the and', 0.7, 0.8, null, null), ('that', 0.3, 0.6, null, 1.25), ('to', null, null, -0.5, null),
+    ('by', null, null, -0.8, null), ('is', null, null, null, 1.5), ('was', null, null, null, 0.5)
+),
+listed as (
+  select id, regexp_extract_all(lower(text), '([\\p{L}\\p{M}]+(?:[''’][\\p{L}\\p{M}]+)*|[.,;:!?])') as list
+  from docs
+),
+placed as (select id, unnest(list) as word, generate_subscripts(list, 1) - 1 as pos from listed),
+token as (
+  select *, lead(word) over (partition by id order by pos) as second,
+    lead(word, 2) over (partition by id order by pos) as third
+  from placed
+),
+spans as (
+  select id, pos, 1 as n, word from token
+  union all select id, pos, 2, word || ' ' || second from token
+  union all select id, pos, 3, word || ' ' || second || ' ' || third from token
+),
+event as (
+  select id, pos, n, false as mark, p, s, negate, boost from spans join meaning using (word)
+  union all
+  select id, pos, 1, true, null, null, null, null from token where word in ('.', ',', ';', ':', '!', '?')
+),
+folded as (
+  select id, list_reduce(
+    list({'pos': pos, 'n': n, 'mark': mark, 'p': p, 's': s, 'negate': negate, 'boost': boost} order by pos, n desc),
+    lambda a, e: case
+      when e.mark then {'covered': a.covered, 'negate': 1.0::double, 'until': -1::bigint, 'boost': 1.0::double,
+        'boost_at': -1::bigint, 'p': a.p, 's': a.s, 'n': a.n}
+      when e.pos < a.covered then a
+      else {'covered': e.pos + e.n,
+        'negate': case when e.negate is null then a.negate
+          else e.negate * case when e.pos <= a.until then a.negate else 1.0::double end end,
+        'until': case when e.negate is null then a.until else e.pos + e.n + 2 end,
+        'boost': case when e.boost is null then a.boost
+          else e.boost * case when e.pos = a.boost_at then a.boost else 1.0::double end end,
+        'boost_at': case when e.boost is null then a.boost_at else e.pos + e.n end,
+        'p': a.p + case when e.p is null then 0.0::double else greatest(-1.0::double, least(1.0::double, e.p
+            * case when e.pos = a.boost_at then a.boost else 1.0::double end
+            * case when e.pos <= a.until then a.negate else 1.0::double end)) end,
+        's': a.s + case when e.s is null then 0.0::double else greatest(0.0::double, least(1.0::double, e.s
+            * case when e.pos = a.boost_at then a.boost else 1.0::double end)) end,
+        'n': a.n + case when e.p is null then 0 else 1 end} end,
+    {'covered': 0::bigint, 'negate': 1.0::double, 'until': -1::bigint, 'boost': 1.0::double,
+     'boost_at': -1::bigint, 'p': 0.0::double, 's': 0.0::double, 'n': 0::bigint}) as a
+  from event group by id
+)
+select d.id as doc_id,
+  round(case when text is not null then case when a.n > 0 then a.p / a.n else 0.0 end end, 8) as sentiment_polarity,
+  round(case when text is not null then case when a.n > 0 then a.s / a.n else 0.0 end end, 8) as sentiment_subjectivity
+from docs d left join folded f using (id)
+"""
+
 _LABEL_DOMAIN = """
 domain as (
   select * from (values (0, 'click'), (1, 'error'), (2, 'nosuch'), (3, 'purchase'), (4, 'signup'),
@@ -234,6 +293,8 @@ from raw where aidr_label <> 'purchase'
   and (text is null or (truncated and full_text is null) or aidr_label = 'error')""",
     "sentiment_score": _SCORES,
     "sentiment_score_joined": _SCORES,
+    "sentiment_scoped": _SCOPED_SCORES,
+    "sentiment_scoped_joined": _SCOPED_SCORES,
     "extract_mentions": _MENTION_LISTS,
     "extract_mentions_joined": _MENTION_LISTS,
     "explode_mentions": f'with {_MENTIONS} select entity as "Entity", type as "Type" from mentions',

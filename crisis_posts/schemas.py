@@ -66,6 +66,7 @@ SENTIMENT = _struct(polarity=DOUBLE, subjectivity=DOUBLE)
 MENTIONS = T.ArrayType(_struct(entity=STRING, type=STRING))
 
 LEXICON = _struct(word=STRING, polarity=DOUBLE, subjectivity=DOUBLE)
+MODIFIER = _struct(word=STRING, kind=STRING, factor=DOUBLE)
 GAZETTEER = _struct(entity=STRING, type=STRING)
 ENTITY_TOTAL = _struct(entity=STRING, type=STRING, total_count=LONG)
 

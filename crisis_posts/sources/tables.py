@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from crisis_posts.schemas import ENTITY_TOTAL, GAZETTEER, LEXICON
+from crisis_posts.schemas import ENTITY_TOTAL, GAZETTEER, LEXICON, MODIFIER
 
 
 def write_entity_counts(counts: DataFrame, path: str, fmt: str = "json") -> None:
@@ -63,6 +63,11 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     return _named_csv(spark, path, LEXICON)
 
 
+def read_modifiers(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with a header that names word, kind (negator or booster) and factor, in any order."""
+    return _named_csv(spark, path, MODIFIER)
+
+
 def read_gazetteer(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header that names entity and type, in any order."""
     return _named_csv(spark, path, GAZETTEER)
