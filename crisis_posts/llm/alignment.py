@@ -4,14 +4,15 @@ A text's tokens by both tokenizers cover the same bytes; tokens are linked where
 overlap, and offsets where tokens of both end cut them into groups. How widely a pair of ids is
 linked takes the whole corpus:
 
-1. A first pass aligns all documents; each task counts, for each pair, the documents that link it.
+1. All documents are encoded, and the ids of both tokenizers written. A first pass aligns them; each
+   task counts, for each pair, the documents that link it.
 2. The distinct pairs get a minimal perfect hash function: pairs are dealt into buckets by their
    first id, and a bucket's function is a few levels of bits, each key setting a bit of its own at
    the first level where no other key hashes to the same place; its slot is the number of bits
    before. Each slot keeps its key, so that a look-up is verified.
 3. The tasks' counts become dense vectors, indexed by slot, which are summed in a tree: first
    within parts of a bucket, then over the parts.
-4. A second pass aligns the documents again and looks up the count of every link. Up to
+4. A second pass aligns the written ids again and looks up the count of every link. Up to
    most_pairs pairs travel to the tasks, the most widely linked ones if there are more; links of
    the others, each of which few documents hold, are joined to the table of counts.
 
@@ -26,7 +27,7 @@ import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
-from itertools import chain, groupby
+from itertools import groupby
 
 import numpy as np
 import sentencepiece
@@ -46,7 +47,8 @@ _PARTS = 16
 _ROWS_AT_ONCE = 256
 _BYTES_AT_ONCE = 1 << 20
 _KEYS_HELD = 2_000_000
-_UNSURE = re.compile(r"[^\x00-ɏ]|\S{1000}|\s{1000}")
+_LONG_RUN = re.compile(rb"[^ \n]{1000}|\s{1000}")
+_FURTHEST_LEAD = 0xC8  # of two bytes for a character below U+0240
 
 
 class Tokenizers:
@@ -91,9 +93,16 @@ class Tokenizers:
         ranks = {token: number for token, number in ranks.items() if number < 256 + len(numbers)}
         return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def encode_a(self, text: str) -> list[int]:
-        """By ranks where classes of characters are the same in every library and words are short."""
-        if self.fast and not _UNSURE.search(text):
+    def by_ranks(self, raw: bytes) -> bool:
+        """Whether classes of characters are the same in every library, and runs are short."""
+        return (
+            self.fast is not None
+            and (raw.isascii() or np.frombuffer(raw, np.uint8).max() <= _FURTHEST_LEAD)
+            and not (len(raw) >= 1000 and _LONG_RUN.search(raw))
+        )
+
+    def encode_a(self, text: str, by_ranks: bool) -> list[int]:
+        if by_ranks:
             return self.fast.encode_ordinary(" " + text)
         return self.a.encode(" " + text, add_special_tokens=False).ids
 
@@ -108,31 +117,37 @@ class Tokenizers:
         all_b = self.b.encode(decoded, num_threads=1)
         all_a = []
         for i, (raw, text) in enumerate(zip(texts, decoded, strict=True)):
-            ids = self.encode_a(text) if text else []
-            whole = b" " + (raw or b"")
-            if text and (
-                b"".join(map(self.a_bytes.__getitem__, ids)) != whole
-                or b"".join(map(self.b_bytes.__getitem__, all_b[i])) != whole
-            ):
-                ids = []
+            ids = []
+            if text:
+                whole, by_ranks = b" " + raw, self.by_ranks(raw)
+                ids = self.encode_a(text, by_ranks)
+                # Ranks cut any bytes into tokens that are these bytes.
+                if b"".join(map(self.b_bytes.__getitem__, all_b[i])) != whole or not (
+                    by_ranks or b"".join(map(self.a_bytes.__getitem__, ids)) == whole
+                ):
+                    ids = []
             if not ids:
                 all_b[i] = []
             all_a.append(ids)
         return all_a, all_b
 
-    def align(self, texts: list[bytes | None]) -> Alignment:
-        return Alignment(self, *self.encoded(texts))
+    def align(self, ids_a: list[bytes], ids_b: list[bytes]) -> Alignment:
+        """From written ids."""
+        a, b = (
+            [np.frombuffer(ids, kind) for ids in own]
+            for own, kind in ((ids_a, _kind(self.a_bytes)), (ids_b, _kind(self.b_bytes)))
+        )
+        return Alignment(self, a, b)
 
 
 class Alignment:
     """Links and groups of some documents, taken together: a document's end is the end of a group."""
 
-    def __init__(self, tokenizers: Tokenizers, ids_a: list[list[int]], ids_b: list[list[int]]):
+    def __init__(self, tokenizers: Tokenizers, ids_a: list[np.ndarray], ids_b: list[np.ndarray]):
         self.tokenizers = tokenizers
         self.n_a = np.array([len(x) for x in ids_a], np.int64)
         self.n_b = np.array([len(x) for x in ids_b], np.int64)
-        self.a = np.fromiter(chain.from_iterable(ids_a), np.int64, self.n_a.sum())
-        self.b = np.fromiter(chain.from_iterable(ids_b), np.int64, self.n_b.sum())
+        self.a, self.b = (np.concatenate(x).astype(np.int64) for x in (ids_a, ids_b))
         ends_a = np.cumsum(tokenizers.a_sizes[self.a])
         ends_b = np.cumsum(tokenizers.b_sizes[self.b])
         ending = np.zeros((ends_a[-1] if len(ends_a) else 0) + 1, np.uint8)
@@ -179,13 +194,18 @@ class Alignment:
             at += n
 
 
+def _kind(vocabulary: list) -> type:
+    """Of the numbers that ids are written as."""
+    return np.uint16 if len(vocabulary) <= 1 << 16 else np.uint32
+
+
 @cache
 def _tokenizers(a_path: str, b_path: str) -> Tokenizers:
     return Tokenizers(a_path, b_path)
 
 
 def _in_batches(rows: Iterable[tuple]) -> Iterator[list[tuple]]:
-    """Rows whose last field is a text, up to a number of rows and bytes."""
+    """Rows whose last field is a text or ids, up to a number of rows and bytes."""
     held, size = [], 0
     for row in rows:
         held.append(row)
@@ -275,10 +295,27 @@ def bucket_of(keys: np.ndarray, vocabulary_b: int) -> np.ndarray:
 _TABLE = "bucket int, sizes binary, bits binary, keys binary, docs binary"
 
 
-def pair_table(documents: DataFrame, a_path: str, b_path: str) -> DataFrame:
+def encode_both(documents: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """(doc_id, a, b) of each document: the ids of both tokenizers, as bytes of their numbers.
+
+    Empty where the text is null, empty, not valid UTF-8 or not the bytes of its tokens.
+    """
+
+    def encoded(rows):
+        tokenizers = _tokenizers(a_path, b_path)
+        kinds = _kind(tokenizers.a_bytes), _kind(tokenizers.b_bytes)
+        for batch in _in_batches(rows):
+            both = tokenizers.encoded([text for _, text in batch])
+            for (doc, _), *ids in zip(batch, *both, strict=True):
+                yield doc, *(np.array(own, kind).tobytes() for own, kind in zip(ids, kinds, strict=True))
+
+    return map_rows(documents.select("doc_id", "text"), "doc_id long, a binary, b binary", encoded)
+
+
+def pair_table(encoded: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """The distinct linked pairs by bucket: their hash function, keys and document counts by slot.
 
-    A key is the first id times the size of the second vocabulary plus the second id.
+    ``encoded`` is what encode_both gives, written. A key is the first id times the size of the second vocabulary plus the second id.
     """
 
     def partial(rows):
@@ -297,7 +334,7 @@ def pair_table(documents: DataFrame, a_path: str, b_path: str) -> DataFrame:
                     yield bucket, keys[of].tobytes(), docs[of].tobytes()
 
         for batch in _in_batches(rows):
-            found = tokenizers.align([text for *_, text in batch]).document_keys()
+            found = tokenizers.align(*zip(*batch, strict=True)).document_keys()
             held.append(np.unique(found, return_counts=True))
             if sum(len(keys) for keys, _ in held) >= _KEYS_HELD:
                 held[:] = [_summed(held)]
@@ -306,7 +343,7 @@ def pair_table(documents: DataFrame, a_path: str, b_path: str) -> DataFrame:
         if held:
             yield from handed_on()
 
-    counted = map_rows(documents.select("text"), "bucket int, keys binary, docs binary", partial)
+    counted = map_rows(encoded.select("a", "b"), "bucket int, keys binary, docs binary", partial)
     parts = (F.spark_partition_id() % _PARTS).alias("part")
     counted = written(counted.select("bucket", parts, "keys", "docs"))
 
@@ -492,7 +529,8 @@ def align_documents(
     valid UTF-8 or not the bytes of its tokens has no tokens: zeros and an empty groups. Rows with
     equal or null doc_id each count as a document; other columns are not looked at.
     """
-    table = pair_table(documents, a_path, b_path)
+    encoded = written(encode_both(documents, a_path, b_path))
+    table = pair_table(encoded, a_path, b_path)
     vocabulary_b = sentencepiece.SentencePieceProcessor(model_file=b_path).get_piece_size()
     widest, complete = _widest(table, most_pairs, vocabulary_b)
     sent = documents.sparkSession.sparkContext.broadcast([tuple(row) for row in widest.collect()])
@@ -505,7 +543,8 @@ def align_documents(
             _loaded[name] = _Counts(sent.value, vocabulary_b)
         counts = _loaded[name]
         for batch in _in_batches(rows):
-            found = tokenizers.align([text for *_, text in batch])
+            docs_of, *ids = zip(*batch, strict=True)
+            found = tokenizers.align(*ids)
             keys, place = np.unique(found.keys, return_inverse=True)
             slots = counts.functions.slots(keys)
             best = found.sums(counts.best[slots][place].astype(np.int64))
@@ -513,7 +552,7 @@ def align_documents(
             missing = _missing(found, keys[slots < 0], (slots < 0)[place]) if not complete else None
             columns = [found.n_a, found.n_b, found.n_groups, found.n_links, best, docs]
             for i, (doc, *numbers) in enumerate(zip(
-                (row[0] for row in batch), *(c.tolist() for c in columns), found.spelled(), strict=True
+                docs_of, *(c.tolist() for c in columns), found.spelled(), strict=True
             )):
                 groups = numbers[-1]
                 if digests and groups:
@@ -526,10 +565,9 @@ def align_documents(
         "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, "
         "count_sum long, groups string"
     )
-    chosen = documents.select("doc_id", "text")
     if complete:
-        return map_rows(chosen, counted, aligned)
-    found = map_rows(chosen, f"{counted}, missing array<long>", aligned)
+        return map_rows(encoded, counted, aligned)
+    found = map_rows(encoded, f"{counted}, missing array<long>", aligned)
     return _with_missing(found, pair_counts(table, b_path), vocabulary_b)
 
 
