@@ -12,8 +12,10 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +30,8 @@ SCALE = 1_000_000_000
 _TERM_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-_ENTRIES = 300_000  # held by a task before it hands them on
+_ENTRIES = 500_000  # held by a task before it hands them on
+_ROWS_AT_ONCE = 256
 _DOC = 1 << 40
 _BLOCK = 256  # sources
 _CHUNK = 2_048  # terms
@@ -42,33 +45,40 @@ def term_counts(documents: DataFrame) -> DataFrame:
     """
     texts = documents.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")))
     schema = "lang binary, source binary, term binary, n long, docs long"
-    return map_rows(texts, schema, _partial_counts).groupBy("lang", "source", "term").agg(
+    return texts.mapInArrow(_partial_counts, schema).groupBy("lang", "source", "term").agg(
         F.sum("n").alias("n"), F.sum("docs").alias("docs")
     )
 
 
-def _partial_counts(rows: Iterator[tuple]) -> Iterator[tuple]:
+def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of a task, handed on whenever enough of them are held."""
     groups: dict[tuple, dict] = {}
     held = 0
-
-    def handed_on():
-        for (lang, source), counts in groups.items():
-            for term, packed in counts.items():
-                yield lang, source, term, packed % _DOC, packed // _DOC
-        groups.clear()
-
-    for lang, source, text in rows:
-        counts = groups.setdefault((lang, source), {})
-        before = len(counts)
-        counts[None] = counts.get(None, 0) + _DOC
-        for term, n in Counter(text.translate(_TERM_BYTES).split()).items():
-            counts[term] = counts.get(term, 0) + n + _DOC
-        held += len(counts) - before
-        if held >= _ENTRIES:
-            yield from handed_on()
-            held = 0
-    yield from handed_on()
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            rows = batch.slice(at, _ROWS_AT_ONCE).columns
+            for lang, source, text in zip(*(c.cast(pa.binary()).to_pylist() for c in rows), strict=True):
+                counts = groups.setdefault((lang, source), {})
+                before = len(counts)
+                counts[None] = counts.get(None, 0) + _DOC
+                for term, n in Counter(text.translate(_TERM_BYTES).split()).items():
+                    counts[term] = counts.get(term, 0) + n + _DOC
+                held += len(counts) - before
+            if held >= _ENTRIES:
+                yield from _handed_on(groups)
+                groups, held = {}, 0
+    yield from _handed_on(groups)
+
+
+def _handed_on(groups: dict[tuple, dict]) -> Iterator[pa.RecordBatch]:
+    names = ["lang", "source", "term", "n", "docs"]
+    for key, counts in groups.items():
+        terms = iter(counts)
+        while some := list(islice(terms, 1 << 16)):
+            packed = np.fromiter(map(counts.__getitem__, some), np.int64, len(some))
+            columns = [pa.repeat(pa.scalar(name, pa.binary()), len(some)) for name in key]
+            columns += [pa.array(some, pa.binary()), pa.array(packed % _DOC), pa.array(packed // _DOC)]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def frequency(count: str, total: str) -> Column:
