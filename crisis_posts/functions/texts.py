@@ -18,6 +18,9 @@ NAME = (
 
 # A word with its inner apostrophes, or a mark that ends a clause.
 TOKEN = r"([\p{L}\p{M}]+(?:['’][\p{L}\p{M}]+)*|[.,;:!?])"
+# The same for texts in their own case, with marks that end a sentence kept in one token, and
+# any other character but white space as a token of its own.
+CASED_TOKEN = r"([\p{L}\p{M}]+(?:['’-][\p{L}\p{M}]+)*|[.!?]+|[^\s\p{L}\p{M}])"
 CLAUSE_MARKS = (".", ",", ";", ":", "!", "?")
 
 

@@ -43,6 +43,13 @@ GAZETTEER = (
     {"entity": "Ción", "type": "LOC"},
     {"entity": "Orre", "type": "PER"},
 )
+# For the tagger: names of several words too, and one that is also an ordinary word.
+MARKED = (
+    *GAZETTEER,
+    {"entity": "Éèpa Éèpa", "type": "LOC"},
+    {"entity": "Is Of", "type": "PER"},
+    {"entity": "And", "type": "PER"},
+)
 RULES = (
     ("The", "(?i)^(the|of)$", "WORD"),
     ("Orre", "(?i)^orre$", "NAME"),
@@ -85,6 +92,10 @@ def modifiers(spark: SparkSession) -> DataFrame:
     return literals.rows(spark, MODIFIERS, "word string, kind string, factor double")
 
 
+def marked_names(spark: SparkSession) -> DataFrame:
+    return literals.rows(spark, MARKED, "entity string, type string")
+
+
 def gazetteer(spark: SparkSession) -> DataFrame:
     return literals.rows(spark, GAZETTEER, "entity string, type string")
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crisis_posts.functions import texts
-from crisis_posts.operators import enrich, mentions, scope, sentiment, views
+from crisis_posts.operators import enrich, mentions, scope, sentiment, tagger, views
 from crisis_posts.operators.selection import PostQuery
 from crisis_posts.plans import binding
 from crisis_posts.sources.labels import label_rejects, parse_label_lines
@@ -202,6 +202,14 @@ def extract_mentions_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_lists(_mention_lists(spark, sf_dir, max_rows=0))
 
 
+@register
+def tag_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tagger learned from all texts, in which the gazetteer marks names, names those of all texts."""
+    texts = _documents(spark, sf_dir)
+    learned = tagger.learn_tagger(texts, binding.marked_names(spark))
+    return _flat_lists(tagger.tag_names(texts, learned))
+
+
 @register
 def explode_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mentions.explode_mentions(_mention_lists(spark, sf_dir))

@@ -10,6 +10,7 @@ from importlib import import_module
 from pyspark.sql import Column, SparkSession
 
 from crisis_posts.operators import enrich, mentions
+from crisis_posts.operators.tagger import learn_tagger, tag_names
 from crisis_posts.operators.wordtable import MAX_ROWS
 from crisis_posts.sources import labels as label_file
 from crisis_posts.sources import posts as post_files
@@ -64,15 +65,22 @@ def entity_job(
     fmt: str = "parquet",
     counts_fmt: str = "json",
     tagger: str | None = None,
+    learned: bool = False,
 ) -> None:
     """``tagger`` is the import path of a pandas UDF from text to mentions, used in place of
-    the name pattern and the gazetteer."""
+    the name pattern and the gazetteer. ``learned`` names are those of a sequence tagger that
+    is learned from the posts, in which the gazetteer marks names."""
     enriched = post_files.read_enriched(spark, posts, fmt)
-    if tagger:
-        tagged = mentions.explode_mentions(mentions.tag_mentions(enriched, _imported(tagger)))
-        counts = mentions.mention_counts(mentions.canonical_mentions(tagged))
-    else:
+    if not (tagger or learned):
         counts = mentions.text_mention_counts(enriched, tables.read_gazetteer(spark, gazetteer))
+    else:
+        if tagger:
+            tagged = mentions.tag_mentions(enriched, _imported(tagger))
+        else:
+            known = tables.read_gazetteer(spark, gazetteer)
+            tagged = tag_names(enriched, learn_tagger(enriched, known))
+        found = mentions.canonical_mentions(mentions.explode_mentions(tagged))
+        counts = mentions.mention_counts(found)
     tables.write_entity_counts(counts, output, counts_fmt)
 
 

@@ -199,6 +199,125 @@ select d.id as doc_id,
 from docs d left join folded f using (id)
 """
 
+# The tagger: tags 0 for words outside of names, then two for each of the five types.
+_TAGGED = """
+with listed as (
+  select doc_id, regexp_extract_all(text,
+    '([\\p{L}\\p{M}]+(?:[''’-][\\p{L}\\p{M}]+)*|[.!?]+|[^\\s\\p{L}\\p{M}])') as list
+  from documents where text is not null
+),
+placed as (select doc_id, unnest(list) as w, generate_subscripts(list, 1) - 1 as i from listed),
+token as (
+  select *, regexp_matches(w, '^\\p{Lu}') as cap,
+    i = 0 or regexp_matches(lag(w) over (partition by doc_id order by i), '^[.!?]') as begins
+  from placed
+),
+known(name, kind) as (
+  values ('The', 0), ('Of', 3), ('Ción', 1), ('Orre', 2), ('Éèpa Éèpa', 1), ('Is Of', 2), ('And', 2)
+),
+open_token as (
+  select doc_id, i, w, i - row_number() over (partition by doc_id order by i) as run
+  from token where cap and not begins
+),
+open_run as (
+  select doc_id, run, string_agg(w, ' ' order by i) as name, min(i) as start from open_token group by all
+),
+judged as (
+  select o.doc_id, o.i, r.start, o.run, k.kind as whole, s.kind as single,
+    lag(s.kind) over (partition by o.doc_id, o.run order by o.i) as single_before
+  from open_token o join open_run r using (doc_id, run)
+  left join known k on k.name = r.name left join known s on s.name = o.w
+),
+inside as (
+  select doc_id, i, case
+    when whole is not null then 2 * whole + case when i = start then 1 else 2 end
+    when single is not null then 2 * single + 1
+    when i > start and single_before is null then 10 else 9 end as tag
+  from judged
+),
+tagged as (
+  select t.doc_id, t.i, t.w, t.cap, case when t.cap then n.tag else 0 end as tag
+  from token t left join inside n using (doc_id, i)
+),
+step as (
+  select a, b, count(*) as n from (
+    select tag as a, lead(tag) over (partition by doc_id order by i) as b from tagged
+  ) where a is not null and b is not null group by all
+),
+counted as (
+  select lower(w) as word, tag, count(*) as n, bool_or(cap) as cap
+  from tagged where regexp_matches(w, '^\\p{L}') group by 1, 2
+),
+vocabulary as (select greatest(count(distinct word), 1) as v from counted where tag is not null),
+tags as (select range as t from range(11)),
+total as (
+  select t, coalesce(sum(n), 0) as n, greatest(count(word), 1) as k
+  from tags left join counted on tag = t group by t
+),
+capital as (select word from counted group by word having bool_or(cap)),
+step_sum as (
+  select *, sum(n) over (partition by a) + count(*) filter (where allowed) over (partition by a) as whole from (
+    select x.t as a, y.t as b, coalesce(n, 0) as n,
+      y.t = 0 or y.t % 2 = 1 or ((y.t - 1) // 2 = (x.t - 1) // 2 and x.t > 0) as allowed
+    from tags x cross join tags y left join step on a = x.t and b = y.t
+  )
+),
+step_score as (
+  select list(scores order by a) as st from (
+    select a, list(case when allowed then cast(round(1000 * ln(cast(n + 1 as double) / whole)) as bigint)
+      else -1000000000 end order by b) as scores
+    from step_sum group by a
+  )
+),
+exact as (
+  select p.word, p.t, coalesce(c.n, 0) as n from (select word, t from capital cross join tags) p
+  left join counted c on c.word = p.word and c.tag = p.t
+),
+scored as (
+  select word, list(cast(round(1000 * ln(
+    cast(e.n * v + k as double) / cast((total.n + k) * v as double))) as bigint) order by e.t) as scores
+  from exact e join total on total.t = e.t cross join vocabulary group by word
+),
+candidate as (
+  select doc_id, i, w, i - row_number() over (partition by doc_id order by i) as run,
+    list_transform(scores, lambda x, j: x + case when j = 1 and not begins then within else 0 end) as scores
+  from token join scored on word = lower(w), (select cast(round(1000 * ln(1 / 100::double)) as bigint) as within)
+  where cap
+),
+decoded as (
+  select doc_id, run, words, list_reduce(lists, lambda s, x: {
+      'best': list_transform(range(1, 12), lambda t: x[t]
+        + list_max(list_transform(range(1, 12), lambda a: s.best[a] + st[a][t]))),
+      'path': list_transform(range(1, 12), lambda t: s.path[list_position(
+        list_transform(range(1, 12), lambda a: s.best[a] + st[a][t]),
+        list_max(list_transform(range(1, 12), lambda a: s.best[a] + st[a][t])))] || ',' || t)},
+    {'best': [0::bigint] || list_transform(range(10), lambda r: -1000000000000::bigint),
+     'path': list_transform(range(11), lambda r: '')}) as s, st
+  from (
+    select doc_id, run, list(scores order by i) as lists, list({'i': i, 'w': w} order by i) as words
+    from candidate group by all
+  ) cross join step_score
+),
+chosen as (
+  select doc_id, run, unnest(words) as word, cast(unnest(string_split(s.path[list_position(
+      list_transform(range(1, 12), lambda a: s.best[a] + st[a][1]),
+      list_max(list_transform(range(1, 12), lambda a: s.best[a] + st[a][1])))][2:], ',')) as int) - 1 as tag
+  from decoded
+),
+grouped as (
+  select *, sum(tag % 2) over (partition by doc_id, run order by word.i) as nth from chosen where tag > 0
+),
+mention as (
+  select doc_id, min(word.i) as i, string_agg(word.w, ' ' order by word.i) as entity,
+    ['ART', 'LOC', 'PER', 'PREP', 'MISC'][(min(tag) + 1) // 2] as type
+  from grouped group by doc_id, run, nth
+)
+select d.doc_id, cast(count(entity) as int) as n,
+  coalesce(string_agg(entity, ' ' order by i), '') as entities,
+  coalesce(string_agg(type, ' ' order by i), '') as types
+from documents d left join mention m using (doc_id) where d.text is not null group by d.doc_id
+"""
+
 _LABEL_DOMAIN = """
 domain as (
   select * from (values (0, 'click'), (1, 'error'), (2, 'nosuch'), (3, 'purchase'), (4, 'signup'),
@@ -293,6 +412,7 @@ from raw where aidr_label <> 'purchase'
   and (text is null or (truncated and full_text is null) or aidr_label = 'error')""",
     "sentiment_score": _SCORES,
     "sentiment_score_joined": _SCORES,
+    "tag_names": _TAGGED,
     "sentiment_scoped": _SCOPED_SCORES,
     "sentiment_scoped_joined": _SCOPED_SCORES,
     "extract_mentions": _MENTION_LISTS,

@@ -54,6 +54,9 @@ def test_posts_to_totals(spark, run, tmp_path, fmt):
     for row in read_entity_counts(spark, str(runs)).collect():
         counts[row.entity, row.type] += row["count"]
     assert counts == {("Houston", "LOC"): 2 * 2 * 8}
+    run("entities", tmp_path / "named", gazetteer, tmp_path / "learned", "--fmt", fmt, "--learned")
+    learned = read_entity_counts(spark, str(tmp_path / "learned")).collect()
+    assert [(row.entity, row.type, row["count"]) for row in learned] == [("Houston", "LOC", 16)]
     run("merge", runs, tmp_path / "final")
     totals = read_entity_totals(spark, str(tmp_path / "final")).collect()
     assert [tuple(row) for row in totals] == [("Houston", "LOC", 32)]
