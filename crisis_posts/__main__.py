@@ -40,11 +40,17 @@ def main() -> None:
         merge.add_argument(name)
     merge.add_argument("--counts-fmt", choices=("parquet", "json"), default="json")
 
+    rollup = commands.add_parser("rollup", help="enriched table to a batch of the stored rollup")
+    for name in ("posts", "output", "batch"):
+        rollup.add_argument(name)
+    rollup.add_argument("--fmt", choices=("parquet", "json"), default="parquet")
+
     arguments = vars(parser.parse_args())
     job = {
         "enrich": jobs.enrichment_job,
         "entities": jobs.entity_job,
         "merge": jobs.merge_job,
+        "rollup": jobs.rollup_job,
     }[arguments.pop("job")]
     job(SparkSession.builder.appName("crisis_posts").getOrCreate(), **arguments)
 

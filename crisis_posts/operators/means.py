@@ -10,6 +10,7 @@ from crisis_posts.functions import literals
 # The means of a domain have a row per member at most; up to here they are broadcast.
 MAX_BROADCAST = 10_000
 
+MEASURES = ("polarity", "subjectivity")
 OVERALL, BY_LABEL, BY_STATE = "overall", "aidr_label", "place_state"
 
 
@@ -31,8 +32,13 @@ def means_by(posts: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
     One aggregation for the whole domain, which keeps at most one row per member.
     """
     grouped = posts.filter(F.col(column).isin(*domain)).groupBy(column).agg(*_mean_columns())
+    return for_domain(grouped, column, domain)
+
+
+def for_domain(grouped: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
+    """``grouped`` means, one row per value of ``column``, as ``means_by`` gives them."""
     members = literals.rows(
-        posts.sparkSession,
+        grouped.sparkSession,
         [{"position": i, column: member} for i, member in enumerate(domain)],
         f"position int, `{column}` string",
     )
@@ -49,11 +55,15 @@ def all_means(posts: DataFrame, labels: Sequence[str], states: Sequence[str]) ->
     ``dimension`` is ``overall``, ``aidr_label`` or ``place_state``. Posts are summed once
     per label and state; the three kinds of group are formed from those few sums.
     """
-    measures = ("polarity", "subjectivity")
     sums = posts.groupBy(BY_LABEL, BY_STATE).agg(
-        *[F.sum(f"sentiment_{m}").alias(f"sum_{m}") for m in measures],
-        *[F.count(f"sentiment_{m}").alias(f"count_{m}") for m in measures],
+        *[F.sum(f"sentiment_{m}").alias(f"sum_{m}") for m in MEASURES],
+        *[F.count(f"sentiment_{m}").alias(f"count_{m}") for m in MEASURES],
     )
+    return all_means_of_sums(sums, labels, states)
+
+
+def all_means_of_sums(sums: DataFrame, labels: Sequence[str], states: Sequence[str]) -> DataFrame:
+    """The same from sums and counts per label and state, in any number of rows."""
     level = F.col("level")
     is_overall, is_label, is_state = level == 3, level == 1, level == 2
     grouped = (
@@ -62,7 +72,7 @@ def all_means(posts: DataFrame, labels: Sequence[str], states: Sequence[str]) ->
             F.grouping_id().alias("level"),
             *[
                 F.try_divide(F.sum(f"sum_{m}"), F.sum(f"count_{m}")).alias(m)
-                for m in measures
+                for m in MEASURES
             ],
         )
         .filter(
@@ -85,7 +95,7 @@ def all_means(posts: DataFrame, labels: Sequence[str], states: Sequence[str]) ->
     )
     groups = [(OVERALL, [OVERALL]), (BY_LABEL, labels), (BY_STATE, states)]
     members = literals.rows(
-        posts.sparkSession,
+        sums.sparkSession,
         [
             {"dimension": dimension, "position": i, "member": member}
             for dimension, domain in groups
@@ -95,7 +105,7 @@ def all_means(posts: DataFrame, labels: Sequence[str], states: Sequence[str]) ->
     )
     bounded = _bounded(grouped, 1 + len(labels) + len(states))
     return members.join(bounded, ["dimension", "member"], "left").select(
-        "dimension", "position", "member", *measures
+        "dimension", "position", "member", *MEASURES
     )
 
 

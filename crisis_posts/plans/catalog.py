@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crisis_posts.functions import texts
-from crisis_posts.operators import enrich, mentions, scope, sentiment, tagger, views
+from crisis_posts.operators import enrich, mentions, rollup, scope, sentiment, tagger, views
 from crisis_posts.operators.selection import PostQuery
 from crisis_posts.plans import binding
+from crisis_posts.sources import buckets
 from crisis_posts.sources.labels import label_rejects, parse_label_lines
+from crisis_posts.sources.scratch import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +118,17 @@ def label_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.join_labels(posts, _labels(spark, sf_dir))
 
 
+@register
+def label_join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``label_join``, over posts and labels that were stored in buckets."""
+    path = new_path(spark)
+    posts, labels = (f"{kind}_{path.rsplit('-')[-1]}" for kind in ("posts", "labels"))
+    stored = _documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "lang")
+    buckets.store_posts(stored, posts, f"{path}/posts", 16)
+    buckets.store_labels(_labels(spark, sf_dir), labels, f"{path}/labels", 16)
+    return buckets.labelled_posts(spark, posts, labels)
+
+
 @register
 def enrich_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = enrich.enrich_posts(
@@ -374,6 +387,43 @@ def _all_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.all_means(binding.LABELS, binding.STATE_DOMAIN)
 
 
+# Means and sizes from a stored rollup
+
+
+def _stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All posts, stored in two batches, the first of which comes twice."""
+    posts = binding.enriched_posts(spark, sf_dir, *rollup.DIMENSIONS, *MEASURED)
+    path = new_path(spark)
+    seen = F.coalesce(F.col("aidr_label").isin("view", "click"), F.lit(False))
+    for batch, chosen in (("seen", seen), ("other", ~seen), ("seen", seen)):
+        rollup.write_batch(posts.filter(chosen), path, batch)
+    return rollup.read_rollup(spark, path)
+
+
+@register
+def rollup_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = _stored_rollup(spark, sf_dir).withColumn("date", _seconds("date"))
+    return _rounded(cells, "sum_polarity", "sum_subjectivity")
+
+
+@register
+def rollup_all_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``mean_all``, read from the rollup."""
+    chosen = rollup.RollupQuery(_stored_rollup(spark, sf_dir)).where(
+        created_at="2024-01-01", created_at_end="2024-01-02"
+    )
+    means = chosen.all_means(binding.LABELS, binding.STATE_DOMAIN)
+    return _rounded(means, "polarity", "subjectivity")
+
+
+@register
+def rollup_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = rollup.RollupQuery(_stored_rollup(spark, sf_dir)).where(
+        phase=["Pre"], verified="True", possibly_sensitive="False"
+    )
+    return chosen.size()
+
+
 # Result tables
 
 

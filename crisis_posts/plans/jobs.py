@@ -10,6 +10,7 @@ from importlib import import_module
 from pyspark.sql import Column, SparkSession
 
 from crisis_posts.operators import enrich, mentions
+from crisis_posts.operators.rollup import write_batch
 from crisis_posts.operators.tagger import learn_tagger, tag_names
 from crisis_posts.operators.wordtable import MAX_ROWS
 from crisis_posts.sources import labels as label_file
@@ -84,6 +85,11 @@ def entity_job(
     tables.write_entity_counts(counts, output, counts_fmt)
 
 
+def rollup_job(spark: SparkSession, posts: str, output: str, batch: str, fmt: str = "parquet") -> None:
+    """Store the rollup of a batch of enriched posts; a repeated batch replaces itself."""
+    write_batch(post_files.read_enriched(spark, posts, fmt), output, batch)
+
+
 def merge_job(spark: SparkSession, counts: str, output: str, counts_fmt: str = "json") -> None:
     totals = mentions.merge_counts(tables.read_entity_counts(spark, counts, counts_fmt))
     tables.write_entity_totals(totals, output)

@@ -391,6 +391,9 @@ select id, strftime(date, '%Y-%m-%d %H:%M:%S') as date from derived""",
     "hour_bucket": f"with {_BASE} select id, timerange_end from posts",
     "label_join": f"""with {_LABEL_ROWS}
 select d.doc_id as id, d.lang, r.aidr_label
+from documents d join label_rows r on r.id = d.doc_id""",
+    "label_join_bucketed": f"""with {_LABEL_ROWS}
+select d.doc_id as id, d.lang, r.aidr_label
 from documents d join label_rows r on r.id = d.doc_id""",
     "enrich_posts": f"""with {_RAW}, {_LABEL_ROWS}, {_scored("derived")}
 select d.id, d.name, d.screen_name, d.verified, d.text, d.possibly_sensitive, d.favorite_count,
@@ -459,6 +462,18 @@ select dimension, position, member,
        when polarity <= 0.3 then 'blue' else 'green' end as band,
   case when polarity is null then 'no data'
        else printf('%.4f, %.4f', polarity, subjectivity) end as caption from means""",
+    "rollup_cells": f"""with {_BASE}
+select aidr_label, place_state, phase, strftime(date_trunc('day', date), '%Y-%m-%d %H:%M:%S') as date,
+  verified, possibly_sensitive, count(*) as posts,
+  round(sum(sentiment_polarity), 8) as sum_polarity, count(sentiment_polarity) as count_polarity,
+  round(sum(sentiment_subjectivity), 8) as sum_subjectivity,
+  count(sentiment_subjectivity) as count_subjectivity
+from posts group by all""",
+    "rollup_all_means": f"""{_MEAN_ALL}
+select dimension, position, member, round(polarity, 8) as polarity,
+  round(subjectivity, 8) as subjectivity from means""",
+    "rollup_size": f"""with {_BASE}
+select count(*) as n from posts where phase = 0 and verified and not possibly_sensitive""",
     "sentiment_band": f"with {_BASE} select id, sentiment_polarity, {_BAND} as band from posts",
     "markers_exact": f"""with {_BASE}
 select latitude, longitude, {_BAND} as band, sentiment_polarity, sentiment_subjectivity

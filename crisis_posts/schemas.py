@@ -61,6 +61,20 @@ ENRICHED = _struct(
     timerange_end=INT,
 )
 
+ROLLUP = _struct(
+    aidr_label=STRING,
+    place_state=STRING,
+    phase=INT,
+    date=T.TimestampNTZType(),
+    verified=BOOLEAN,
+    possibly_sensitive=BOOLEAN,
+    posts=LONG,
+    sum_polarity=DOUBLE,
+    count_polarity=LONG,
+    sum_subjectivity=DOUBLE,
+    count_subjectivity=LONG,
+)
+
 # Return types of a plugged-in scorer and tagger.
 SENTIMENT = _struct(polarity=DOUBLE, subjectivity=DOUBLE)
 MENTIONS = T.ArrayType(_struct(entity=STRING, type=STRING))

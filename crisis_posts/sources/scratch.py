@@ -2,18 +2,23 @@
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(table: DataFrame) -> DataFrame:
-    """The table, written below spark.checkpoint.dir and read again; lost tasks restart from there.
+def new_path(spark: SparkSession) -> str:
+    """A path below spark.checkpoint.dir, or the warehouse where that is unset.
 
-    Where that is unset the warehouse is taken. The files go when the session ends.
+    What is written there goes when the session ends.
     """
-    spark = table.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     path = f"{root.rstrip('/')}/scratch-{uuid.uuid4().hex}"
-    table.write.parquet(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(table.schema).parquet(path)
+    return path
+
+
+def written(table: DataFrame) -> DataFrame:
+    """The table, written and read again, so that lost tasks restart from there."""
+    path = new_path(table.sparkSession)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 from crisis_posts import __main__ as command
+from crisis_posts.operators.rollup import RollupQuery, read_rollup
 from crisis_posts.operators.selection import PostQuery
 from crisis_posts.sources.posts import read_enriched
 from crisis_posts.sources.tables import read_entity_counts, read_entity_totals
@@ -37,6 +38,10 @@ def test_posts_to_totals(spark, run, tmp_path, fmt):
     assert posts.count() == 8
     assert PostQuery(posts).where(phase=["Durante"], place=["TX"]).rows().first().text == "full2"
     assert PostQuery(posts).where(created_at="2017-09-12").size().first().n == 2
+    for batch in ("first", "first"):
+        run("rollup", out, tmp_path / "cells", batch, "--fmt", fmt)
+    cells = RollupQuery(read_rollup(spark, str(tmp_path / "cells")))
+    assert cells.where(created_at="2017-09-12").size().first().n == 2
     rejects = [
         json.loads(line)["reason"]
         for file in (tmp_path / "rejects").glob("*.json")
