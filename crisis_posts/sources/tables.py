@@ -1,6 +1,6 @@
 """Entity counts and totals, and the word tables a job is given."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -12,20 +12,31 @@ def write_entity_counts(counts: DataFrame, path: str, fmt: str = "json") -> None
 
 
 def _count_lines(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """``value``, the line, and its fields; JSON keys are case sensitive and so are folded."""
-    if fmt == "json":
-        lines = spark.read.text(path)
-    else:
+    """``value``, the line, and its fields; JSON keys are case sensitive, here they are not.
+
+    A line that has one of the fields twice has no count.
+    """
+    if fmt != "json":
         rows = spark.read.format(fmt).load(path)
-        lines = rows.select(F.to_json(F.struct("*")).alias("value"))
-    fields = F.transform_keys(
-        F.from_json("value", "map<string, string>"), lambda key, _: F.lower(key)
-    )
-    return lines.select("value", fields.alias("f")).select(
+        named = {column.lower(): column for column in rows.columns}
+        return rows.select(
+            F.to_json(F.struct("*")).alias("value"),
+            *(F.col(named[c]).try_cast("string").alias(c) for c in ("entity", "type")),
+            F.col(named["count"]).try_cast("long").alias("count"),
+        )
+    lines = spark.read.text(path)
+    pairs = F.map_entries(F.from_json("value", "map<string, string>"))
+
+    def field(name: str) -> tuple[Column, Column]:
+        own = F.filter("pairs", lambda pair: F.lower(pair["key"]) == name)
+        return F.when(F.size(own) == 1, F.get(own, F.lit(0))["value"]), F.size(own) > 1
+
+    (entity, twice), (kind, also), (count, again) = map(field, ("entity", "type", "count"))
+    return lines.select("value", pairs.alias("pairs")).select(
         "value",
-        F.col("f")["entity"].alias("entity"),
-        F.col("f")["type"].alias("type"),
-        F.col("f")["count"].try_cast("long").alias("count"),
+        entity.alias("entity"),
+        kind.alias("type"),
+        F.when(~(twice | also | again), count.try_cast("long")).alias("count"),
     )
 
 

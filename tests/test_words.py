@@ -208,6 +208,20 @@ def test_bad_count_lines_stop_the_merge_or_are_listed(spark, tmp_path):
     assert tables.count_rejects(spark, path).count() == 2
 
 
+def test_a_field_in_two_spellings_is_no_count(spark, tmp_path):
+    lines = [
+        '{"Entity": "a", "entity": "b", "Type": "X", "count": 2}',
+        '{"ENTITY": "c", "type": "X", "Count": 3}', '{"entity": "d", "entity": "e", "count": 4}',
+        '{"entity": "f", "type": "X", "count": 1, "Count": 5}', "[]", "",
+    ]
+    (tmp_path / "counts").mkdir()
+    (tmp_path / "counts" / "part.json").write_text("\n".join(lines) + "\n")
+    read = tables.read_entity_counts(spark, str(tmp_path / "counts"), skip_bad=True)
+    assert [tuple(row) for row in read.collect()] == [("c", "X", 3)]
+    rejects = [row.value for row in tables.count_rejects(spark, str(tmp_path / "counts")).collect()]
+    assert sorted(rejects) == sorted([lines[0], *lines[2:]])
+
+
 def test_counts_in_parquet_merge_like_json(spark, documents, tmp_path):
     counts = mentions.text_mention_counts(documents, spark.createDataFrame([], "entity string, type string"))
     found = []
