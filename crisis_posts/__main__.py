@@ -33,6 +33,7 @@ def main() -> None:
     entities.add_argument("--counts-fmt", choices=("parquet", "json"), default="json")
     entities.add_argument("--tagger", metavar="MODULE:NAME", help="pandas UDF instead of names")
 
+    entities.add_argument("--run", help="name of this run among others below OUTPUT")
     entities.add_argument("--learned", action="store_true", help="names by a tagger learned from the posts")
 
     merge = commands.add_parser("merge", help="entity counts of many runs to totals")

@@ -17,6 +17,7 @@ from crisis_posts.operators import means
 from crisis_posts.operators.means import MEASURES
 from crisis_posts.operators.selection import PostQuery
 from crisis_posts.schemas import AIDR_LABELS, ROLLUP, US_STATES
+from crisis_posts.sources.tables import part_path
 
 DIMENSIONS = ("aidr_label", "place_state", "phase", "date", "verified", "possibly_sensitive")
 _SUMS = tuple(name for m in MEASURES for name in (f"sum_{m}", f"count_{m}"))
@@ -41,15 +42,8 @@ def merge_rollups(cells: DataFrame) -> DataFrame:
 
 
 def write_batch(posts: DataFrame, path: str, batch: str) -> None:
-    """Store the rollup of a batch of posts; a batch stored again takes the place of the first.
-
-    A batch without posts leaves an earlier one of its name as it is.
-    """
-    (
-        rollup(posts).withColumn("batch", F.lit(batch))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch").parquet(path)
-    )
+    """Store the rollup of a batch of posts; a batch stored again takes the place of the first."""
+    rollup(posts).write.mode("overwrite").parquet(part_path(path, "batch", batch))
 
 
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:

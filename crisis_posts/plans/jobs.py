@@ -67,10 +67,12 @@ def entity_job(
     counts_fmt: str = "json",
     tagger: str | None = None,
     learned: bool = False,
+    run: str | None = None,
 ) -> None:
     """``tagger`` is the import path of a pandas UDF from text to mentions, used in place of
     the name pattern and the gazetteer. ``learned`` names are those of a sequence tagger that
-    is learned from the posts, in which the gazetteer marks names."""
+    is learned from the posts, in which the gazetteer marks names. The counts of a named ``run``
+    lie beside those of other runs; replaying it changes no total."""
     enriched = post_files.read_enriched(spark, posts, fmt)
     if not (tagger or learned):
         counts = mentions.text_mention_counts(enriched, tables.read_gazetteer(spark, gazetteer))
@@ -82,7 +84,7 @@ def entity_job(
             tagged = tag_names(enriched, learn_tagger(enriched, known))
         found = mentions.canonical_mentions(mentions.explode_mentions(tagged))
         counts = mentions.mention_counts(found)
-    tables.write_entity_counts(counts, output, counts_fmt)
+    tables.write_entity_counts(counts, output, counts_fmt, run)
 
 
 def rollup_job(spark: SparkSession, posts: str, output: str, batch: str, fmt: str = "parquet") -> None:

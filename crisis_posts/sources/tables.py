@@ -1,5 +1,7 @@
 """Entity counts and totals, and the word tables a job is given."""
 
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -7,10 +9,31 @@ from pyspark.sql.types import StructType
 from crisis_posts.schemas import ENTITY_TOTAL, GAZETTEER, LEXICON, MODIFIER
 
 
-def write_entity_counts(counts: DataFrame, path: str, fmt: str = "json") -> None:
+def part_path(path: str, column: str, value: str) -> str:
+    """The folder of one part of a table, which can be written again without touching the others."""
+    if not value:
+        raise ValueError(f"{column} needs a name")
+    return f"{path.rstrip('/')}/{column}={quote(value, safe='')}"
+
+
+def write_entity_counts(
+    counts: DataFrame, path: str, fmt: str = "json", run: str | None = None
+) -> None:
+    """With ``run``, the counts of one run among those of others.
+
+    A run that is written again takes the place of its first counts, so totals over the path hold
+    each run once, however often it is replayed. The folders are the ledger of the runs.
+    """
+    path = path if run is None else part_path(path, "run", run)
     counts.write.mode("overwrite").format(fmt).save(path)
 
 
+def counted_runs(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """(run, lines) of the runs whose counts lie below a path."""
+    lines = spark.read.text(path) if fmt == "json" else spark.read.format(fmt).load(path)
+    return lines.groupBy(F.col("run").cast("string").alias("run")).agg(F.count("*").alias("lines"))
+
+
 def _count_lines(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     """``value``, the line, and its fields; JSON keys are case sensitive, here they are not.
 

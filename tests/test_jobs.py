@@ -10,7 +10,7 @@ from crisis_posts import __main__ as command
 from crisis_posts.operators.rollup import RollupQuery, read_rollup
 from crisis_posts.operators.selection import PostQuery
 from crisis_posts.sources.posts import read_enriched
-from crisis_posts.sources.tables import read_entity_counts, read_entity_totals
+from crisis_posts.sources.tables import counted_runs, read_entity_counts, read_entity_totals
 from posts import LABEL_LINES, write_labels, write_raw
 
 
@@ -53,8 +53,10 @@ def test_posts_to_totals(spark, run, tmp_path, fmt):
     named.write.mode("overwrite").format(fmt).save(str(tmp_path / "named"))
     runs = tmp_path / "runs"
     gazetteer = tmp_path / "gazetteer.csv"
-    for i in (1, 2):
-        run("entities", tmp_path / "named", gazetteer, runs / f"run={i}", "--fmt", fmt)
+    for name in ("first of two", "2", "2"):  # one run is replayed
+        run("entities", tmp_path / "named", gazetteer, runs, "--fmt", fmt, "--run", name)
+    listed = {row.run: row.lines for row in counted_runs(spark, str(runs)).collect()}
+    assert listed == {"first of two": 1, "2": 1}
     counts = Counter()
     for row in read_entity_counts(spark, str(runs)).collect():
         counts[row.entity, row.type] += row["count"]

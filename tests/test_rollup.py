@@ -100,4 +100,10 @@ def test_a_batch_replaces_itself_alone(spark, tmp_path):
     rollup.write_batch(posts.limit(7), path, "b")
     rollup.write_batch(posts.limit(3), path, "a")
     assert rollup.RollupQuery(rollup.read_rollup(spark, path)).size().first().n == 10
+    rollup.write_batch(posts.limit(0), path, "b")
+    assert rollup.RollupQuery(rollup.read_rollup(spark, path)).size().first().n == 3
+    rollup.write_batch(posts.limit(5), path, "c/d=é %")
+    assert rollup.RollupQuery(rollup.read_rollup(spark, path)).size().first().n == 8
+    with pytest.raises(ValueError, match="batch"):
+        rollup.write_batch(posts, path, "")
     assert rollup.RollupQuery(rollup.read_rollup(spark, path)).where(labels=["x"]).size().first().n == 0

@@ -276,3 +276,22 @@ def test_plugged_in_scorer_and_tagger(spark):
     for table in (scored, counts):
         plan = table._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_a_replayed_run_changes_no_total(spark, documents, tmp_path, fmt):
+    gazetteer = spark.createDataFrame([("The", "ART")], "entity string, type string")
+    path = str(tmp_path / "runs")
+    parts = {f"part {i}": documents.filter(f"doc_id % 3 = {i}") for i in range(3)}
+    for run in ("part 0", "part 1", "part 2", "part 1", "part 0"):
+        counts = mentions.text_mention_counts(parts[run], gazetteer)
+        tables.write_entity_counts(counts, path, fmt, run)
+    whole = mentions.text_mention_counts(documents, gazetteer)
+    totals = mentions.merge_counts(tables.read_entity_counts(spark, path, fmt))
+    assert {tuple(r) for r in totals.collect()} == {tuple(r) for r in whole.collect()}
+    assert {row.run for row in tables.counted_runs(spark, path, fmt).collect()} == set(parts)
+    # A run replaced by one without counts counts for nothing.
+    tables.write_entity_counts(whole.limit(0), path, fmt, "part 2")
+    left = mentions.merge_counts(tables.read_entity_counts(spark, path, fmt))
+    some = mentions.text_mention_counts(parts["part 0"].union(parts["part 1"]), gazetteer)
+    assert {tuple(r) for r in left.collect()} == {tuple(r) for r in some.collect()}
