@@ -5,8 +5,9 @@ words is one window). Windows of one length share a search table: a block of two
 how far the search may skip; where it may not, the bucket of windows that end in that block
 is compared with the document directly, after a look at each window's first block.
 
-Windows are dealt into blocks of at most ``block_windows`` by their hash. Only one block is
-in memory at a time, and all documents are searched for each block.
+Windows are dealt into blocks of at most ``block_windows`` by their hash. A task holds one block
+and searches its documents for it; with more than one block the documents are written once, each
+row with a number of its own, and read again for each block.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crisis_posts.llm.shared import map_rows
+from crisis_posts.llm.shared import map_rows, written
 
 WINDOW = 10
 BLOCK_WINDOWS = 200_000
@@ -92,30 +93,31 @@ def find_contamination(
 
     hits are (start, end) pairs, end exclusive, in order and disjoint; items are item ids as
     strings, sorted. A null or empty text has no words; an item without words or without id is
-    no item. Rows with the same doc_id keep their number; columns besides doc_id and text
-    are not looked at.
+    no item. Every row has the hits of its own text, also where doc_id is null or repeated;
+    columns besides doc_id and text are not looked at. block_windows changes no row.
     """
     windows = benchmark_windows(benchmark, window)
     blocks = max(1, math.ceil(windows.count() / block_windows))
     windows = windows.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks)))
     texts = documents.select("doc_id", "text")
+    if blocks == 1:
+        return _search_block(texts, windows.drop("block"), "doc_id long")
+    texts = written(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"))
     found = [
-        _search_block(texts, windows.where(F.col("block") == number).drop("block"))
+        _search_block(texts, windows.where(F.col("block") == number).drop("block"), "row long, doc_id long")
         for number in range(blocks)
     ]
-    if blocks == 1:
-        return found[0]
     gathered = None
     for table in found:
-        hits = table.where(F.size("hits") > 0).select("doc_id", "hits", "items").distinct()
+        hits = table.where(F.size("hits") > 0).select("row", "hits", "items")
         gathered = hits if gathered is None else gathered.union(hits)
-    merged = gathered.groupBy("doc_id").agg(
+    merged = gathered.groupBy("row").agg(
         _disjoint(F.flatten(F.collect_list("hits"))).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
     return (
-        found[0].select("doc_id", "n_words")
-        .join(merged, "doc_id", "left")
+        found[0].select("row", "doc_id", "n_words")
+        .join(merged, "row", "left")
         .select(
             "doc_id", "n_words",
             F.coalesce("hits", F.array().cast("array<struct<start:long,end:long>>")).alias("hits"),
@@ -124,8 +126,8 @@ def find_contamination(
     )
 
 
-def _search_block(texts: DataFrame, windows: DataFrame) -> DataFrame:
-    """At most a block's windows are brought to the driver and sent to the executors."""
+def _search_block(texts: DataFrame, windows: DataFrame, keys: str) -> DataFrame:
+    """The keys of each row, its words and hits. At most a block's windows are brought to the driver and sent to the executors."""
     held = windows.groupBy("window").agg(F.collect_set("item_id").alias("items")).collect()
     sent = texts.sparkSession.sparkContext.broadcast([(row.window, row["items"]) for row in held])
 
@@ -138,16 +140,16 @@ def _search_block(texts: DataFrame, windows: DataFrame) -> DataFrame:
             (length, WuManber([w for w, _ in group], length), [o for _, o in group])
             for length, group in sorted(groups.items())
         ]
-        for doc, text in rows:
+        for *key, text in rows:
             words = plain_words(text)
             ranges, items = [], set()
             for length, searcher, owners in searchers:
                 for start, number in searcher.search(words):
                     ranges.append((start, start + length))
                     items.update(owners[number])
-            yield doc, len(words), _united(ranges), sorted(items)
+            yield *key, len(words), _united(ranges), sorted(items)
 
-    schema = "doc_id long, n_words long, hits array<struct<start:long,end:long>>, items array<string>"
+    schema = f"{keys}, n_words long, hits array<struct<start:long,end:long>>, items array<string>"
     return map_rows(texts, schema, search)
 
 
