@@ -98,6 +98,8 @@ def _cut(
     rows = rows_if_small(table, word, max_rows)
     if rows is not None:
         return table, rows
+    if posts.isStreaming:
+        raise ValueError("arriving posts need a word table that may travel with the tasks; raise max_rows")
     occurring = posts.select(F.explode_outer(words).alias(word)).distinct()
     cut = table.join(occurring, word, "left_semi")
     rows = rows_if_small(cut, word, max_rows)

@@ -10,12 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crisis_posts.functions import texts
-from crisis_posts.operators import enrich, mentions, rollup, scope, sentiment, tagger, views
+from crisis_posts.operators import (
+    density, enrich, mentions, pages, rollup, scope, sentiment, tagger, tiles, views,
+)
 from crisis_posts.operators.selection import PostQuery
 from crisis_posts.plans import binding
-from crisis_posts.sources import buckets
+from crisis_posts.sources import buckets, clustering
 from crisis_posts.sources.labels import label_rejects, parse_label_lines
+from crisis_posts.sources.posts import read_enriched, stream_raw_posts
 from crisis_posts.sources.scratch import new_path
+from crisis_posts.streaming import arriving
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -144,6 +148,29 @@ def enrich_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def enrich_arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``enrich_posts``, of all posts as files that arrive in two goes; a third run finds none."""
+    path = new_path(spark)
+    raw = binding.raw_posts(spark, sf_dir).drop("_corrupt_record")
+    for part in (F.col("id") % 2 == 0, F.col("id") % 2 != 0, None):
+        if part is not None:
+            raw.filter(part).write.mode("append").json(f"{path}/raw")
+        arriving.enrich_arriving(
+            stream_raw_posts(spark, f"{path}/raw"),
+            f"{path}/enriched",
+            _labels(spark, sf_dir),
+            binding.lexicon(spark),
+            keep_id=True,
+            states=binding.STATES,
+            phase_cuts=binding.PHASE_CUTS,
+        )
+    posts = read_enriched(spark, f"{path}/enriched", with_id=True)
+    return _rounded(
+        posts.withColumn("date", _seconds("date")), "sentiment_polarity", "sentiment_subjectivity"
+    )
+
+
 @register
 def reject_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = binding.raw_posts(spark, sf_dir, binding.TEXT | binding.FLAGS)
@@ -336,6 +363,23 @@ def filter_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.rows().withColumn("date", _seconds("date"))
 
 
+@register
+def filter_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``filter_posts``, from posts stored in clusters of five columns."""
+    path = new_path(spark)
+    posts = binding.enriched_posts(spark, sf_dir, *FILTERED)
+    clustering.write_clustered(posts, path, 8)
+    chosen = PostQuery(spark.read.schema(posts.schema).parquet(path)).where(
+        labels=["view", "click", "error"],
+        verified="True",
+        created_at="2024-01-01",
+        created_at_end="2024-01-02",
+        possibly_sensitive="False",
+        phase=["Pre", "Durante"],
+    )
+    return chosen.rows().withColumn("date", _seconds("date"))
+
+
 @register
 def refine_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = (
@@ -475,6 +519,72 @@ def result_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.result_table(posts).withColumn("date", _seconds("date"))
 
 
+@register
+def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five pages of a selection's result, 40 rows each, by date and id."""
+    chosen = _query(spark, sf_dir, "date", "aidr_label").where(labels=["view", "click"]).rows()
+    after, seen = None, []
+    for number in range(1, 6):
+        found = pages.page(chosen, 40, after, ("date", "id"))
+        seen += [(number, row.id, row.date, row.aidr_label) for row in found.rows]
+        after = found.after
+        if after is None:
+            break
+    shown = spark.createDataFrame(seen, "page int, id long, date timestamp_ntz, aidr_label string")
+    return shown.withColumn("date", _seconds("date"))
+
+
+# Maps and charts whose size is theirs and not the posts'
+
+DEEPEST = 8
+
+
+def _pyramid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = binding.enriched_posts(spark, sf_dir, "latitude", "longitude", *MEASURED)
+    return tiles.tile_pyramid(posts, deepest=DEEPEST)
+
+
+@register
+def map_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sums = [f"sum_{name}" for name in ("polarity", "subjectivity", "latitude", "longitude")]
+    return _pyramid(spark, sf_dir).withColumns({name: F.round(name, 6) for name in sums})
+
+
+@register
+def map_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box of the stored pyramid with at most 200 markers, which level 4 gives."""
+    path = new_path(spark)
+    tiles.write_pyramid(_pyramid(spark, sf_dir), path)
+    box = tiles.box_markers(spark.read.parquet(path), -90, -45, 90, 45, 200, DEEPEST)
+    return _rounded(box, "latitude", "longitude", "polarity", "subjectivity")
+
+
+@register
+def density_pol_subj(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = density.density(binding.enriched_posts(spark, sf_dir, *MEASURED))
+    sums = ("sum_x", "sum_y", "sum_xx", "sum_yy", "sum_xy")
+    return cells.withColumns({name: F.round(name, 6) for name in sums})
+
+
+@register
+def density_label_pol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = binding.enriched_posts(spark, sf_dir, "aidr_label", *MEASURED)
+    return density.histogram(posts, "aidr_label").withColumn("total", F.round("total", 6))
+
+
+@register
+def density_state_pol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = binding.enriched_posts(spark, sf_dir, "place_state", *MEASURED)
+    return density.histogram(posts, "place_state").withColumn("total", F.round("total", 6))
+
+
+@register
+def correlation_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = binding.enriched_posts(spark, sf_dir, "aidr_label", *MEASURED)
+    found = density.correlation(density.density(posts, by=["aidr_label"]), ["aidr_label"])
+    return found.withColumn("correlation", F.round("correlation", 6))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filter the posts, then report overall, label and state means with captions."""
     chosen = _query(spark, sf_dir, *FILTERED).where(phase=["Pre", "Durante"])

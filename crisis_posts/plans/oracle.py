@@ -373,6 +373,51 @@ means as (
   from domain left join grouped using (dimension, member)
 )"""
 
+_PYRAMID = f"""{_BASE},
+cells as (
+  select least(greatest(cast(floor((longitude + 180) / 360.0::double * 256) as bigint), 0), 255) as x,
+    least(greatest(cast(floor((90 - latitude) / 180.0::double * 256) as bigint), 0), 255) as y, *
+  from (select *, {_BAND} as band from posts where latitude is not null and longitude is not null)
+),
+pyramid as (
+  select cast(level as int) as level, x >> cast(8 - level as int) as x, y >> cast(8 - level as int) as y,
+    count(*) as n,
+    count(*) filter (where band = 'red') as n_red, count(*) filter (where band = 'blue') as n_blue,
+    count(*) filter (where band = 'green') as n_green, count(*) as n_scored,
+    sum(sentiment_polarity) as sum_polarity, sum(sentiment_subjectivity) as sum_subjectivity,
+    sum(latitude) as sum_latitude, sum(longitude) as sum_longitude
+  from cells cross join (select range as level from range(9)) group by all
+)"""
+
+_X_BIN = """cast(least(greatest(floor((sentiment_polarity + 1) / 2.0::double * 40), 0), 39) as int)"""
+_Y_BIN = """cast(least(greatest(floor(sentiment_subjectivity / 1.0::double * 40), 0), 39) as int)"""
+
+
+def _histogram(column: str) -> str:
+    return f"""with {_BASE}
+select {column}, {_X_BIN} as x_bin, count(*) as n, round(sum(sentiment_polarity), 6) as total
+from posts group by all"""
+
+
+_ENRICHED = f"""with {_RAW}, {_LABEL_ROWS}, {_scored("derived")}
+select d.id, d.name, d.screen_name, d.verified, d.text, d.possibly_sensitive, d.favorite_count,
+  strftime(d.date, '%Y-%m-%d %H:%M:%S') as date,
+  round(s.polarity, 8) as sentiment_polarity, round(s.subjectivity, 8) as sentiment_subjectivity,
+  r.aidr_label, d.place_latitude, d.place_longitude, d.place_name, d.longitude, d.latitude,
+  d.place_state,
+  cast(case when d.date < timestamp '2024-01-02 00:00:00' then 0
+            when d.date <= timestamp '2024-01-03 00:00:00' then 1
+            when d.date is not null then 2 end as int) as phase,
+  cast(hour(d.date) + 1 as int) as timerange_end
+from derived d join label_rows r on r.id = d.id join scored s on s.id = d.id
+where d.aidr_label <> 'purchase'"""
+
+_FILTERED = f"""with {_BASE}
+select id, aidr_label, verified, possibly_sensitive, date_text as date, place_state, phase,
+  sentiment_polarity, sentiment_subjectivity
+from posts where aidr_label in ('view', 'click', 'error') and verified and not possibly_sensitive
+  and cast(date as date) between date '2024-01-01' and date '2024-01-02' and phase in (0, 1)"""
+
 SQL: dict[str, str] = {
     "parse_labels": f"with {_LABEL_ROWS} select * from label_rows",
     "reject_labels": f"with {_LABEL_ROWS} select * from label_rows where id is null",
@@ -395,18 +440,8 @@ from documents d join label_rows r on r.id = d.doc_id""",
     "label_join_bucketed": f"""with {_LABEL_ROWS}
 select d.doc_id as id, d.lang, r.aidr_label
 from documents d join label_rows r on r.id = d.doc_id""",
-    "enrich_posts": f"""with {_RAW}, {_LABEL_ROWS}, {_scored("derived")}
-select d.id, d.name, d.screen_name, d.verified, d.text, d.possibly_sensitive, d.favorite_count,
-  strftime(d.date, '%Y-%m-%d %H:%M:%S') as date,
-  round(s.polarity, 8) as sentiment_polarity, round(s.subjectivity, 8) as sentiment_subjectivity,
-  r.aidr_label, d.place_latitude, d.place_longitude, d.place_name, d.longitude, d.latitude,
-  d.place_state,
-  cast(case when d.date < timestamp '2024-01-02 00:00:00' then 0
-            when d.date <= timestamp '2024-01-03 00:00:00' then 1
-            when d.date is not null then 2 end as int) as phase,
-  cast(hour(d.date) + 1 as int) as timerange_end
-from derived d join label_rows r on r.id = d.id join scored s on s.id = d.id
-where d.aidr_label <> 'purchase'""",
+    "enrich_posts": _ENRICHED,
+    "enrich_arriving": _ENRICHED,
     "reject_posts": f"""with {_RAW}
 select id, created_at,
   case when text is null or (truncated and full_text is null) then 'no text'
@@ -439,11 +474,8 @@ select id, place_state from posts where place_state in ('N1', 'N7', 'N21')""",
     "filter_sensitive": f"""with {_BASE}
 select id, possibly_sensitive from posts where not possibly_sensitive""",
     "filter_phase": f"with {_BASE} select id, phase from posts where phase in (1, 2)",
-    "filter_posts": f"""with {_BASE}
-select id, aidr_label, verified, possibly_sensitive, date_text as date, place_state, phase,
-  sentiment_polarity, sentiment_subjectivity
-from posts where aidr_label in ('view', 'click', 'error') and verified and not possibly_sensitive
-  and cast(date as date) between date '2024-01-01' and date '2024-01-02' and phase in (0, 1)""",
+    "filter_posts": _FILTERED,
+    "filter_clustered": _FILTERED,
     "refine_twice": f"""with {_BASE}
 select id, aidr_label, place_state, date_text as date, phase
 from posts where aidr_label = 'click' and phase = 0 and place_state in ('N1', 'N2', 'N6', 'N11')""",
@@ -489,4 +521,29 @@ from posts where place_latitude is not null and place_longitude is not null""",
 select aidr_label, name, screen_name, date_text as date, verified, latitude, longitude, place_name,
   place_latitude, place_longitude, possibly_sensitive, sentiment_polarity, sentiment_subjectivity,
   favorite_count, text, phase from posts""",
+    "result_pages": f"""with {_BASE}
+select cast((row_number() over (order by date nulls first, id) - 1) // 40 + 1 as int) as page, id,
+  date_text as date, aidr_label
+from posts where aidr_label in ('view', 'click') order by posts.date nulls first, id limit 200""",
+    "map_tiles": f"""with {_PYRAMID}
+select level, x, y, n, n_red, n_blue, n_green, n_scored, round(sum_polarity, 6) as sum_polarity,
+  round(sum_subjectivity, 6) as sum_subjectivity, round(sum_latitude, 6) as sum_latitude,
+  round(sum_longitude, 6) as sum_longitude from pyramid""",
+    "map_box": f"""with {_PYRAMID}
+select level, x, y, n, n_red, n_blue, n_green, round(sum_latitude / n, 8) as latitude,
+  round(sum_longitude / n, 8) as longitude, round(sum_polarity / n_scored, 8) as polarity,
+  round(sum_subjectivity / n_scored, 8) as subjectivity
+from pyramid where level = 4 and x between 4 and 12 and y between 4 and 12""",
+    "density_pol_subj": f"""with {_BASE}
+select {_X_BIN} as x_bin, {_Y_BIN} as y_bin, count(*) as n, count(*) as n_pairs,
+  round(sum(sentiment_polarity), 6) as sum_x, round(sum(sentiment_subjectivity), 6) as sum_y,
+  round(sum(sentiment_polarity ** 2), 6) as sum_xx, round(sum(sentiment_subjectivity ** 2), 6) as sum_yy,
+  round(sum(sentiment_polarity * sentiment_subjectivity), 6) as sum_xy
+from posts group by 1, 2""",
+    "density_label_pol": _histogram("aidr_label"),
+    "density_state_pol": _histogram("place_state"),
+    "correlation_by_label": f"""with {_BASE}
+select aidr_label, count(*) as n, count(*) as n_pairs,
+  round(corr(sentiment_polarity, sentiment_subjectivity), 6) as correlation
+from posts group by 1""",
 }

@@ -2,19 +2,32 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from crisis_posts.schemas import CORRUPT, ENRICHED, RAW_POST
 
 
 def read_raw_posts(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines; a line that is not JSON becomes a null row with its text kept aside."""
+    return _raw(spark.read).json(path)
+
+
+def stream_raw_posts(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """The same of files as they arrive, ``max_files`` of them at a time.
+
+    A file that comes late is read too, however much older it is than the newest one.
+    """
+    reader = _raw(spark.readStream).option("maxFileAge", "36500d")
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).json(path)
+
+
+def _raw(reader: DataFrameReader | DataStreamReader) -> DataFrameReader | DataStreamReader:
     return (
-        spark.read.schema(RAW_POST)
+        reader.schema(RAW_POST)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
     )
 
 
