@@ -4,6 +4,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from crisis_posts.operators.tiles import DEEPEST
 from crisis_posts.operators.wordtable import MAX_ROWS
 from crisis_posts.plans import jobs
 
@@ -46,12 +47,37 @@ def main() -> None:
         rollup.add_argument(name)
     rollup.add_argument("--fmt", choices=("parquet", "json"), default="parquet")
 
+    arriving = commands.add_parser("arriving", help="new raw post files to the enriched table")
+    for name in ("posts", "labels", "lexicon", "output"):
+        arriving.add_argument(name)
+    arriving.add_argument("--max-files", type=int, help="files in a batch")
+    arriving.add_argument("--keep-id", action="store_true")
+    arriving.add_argument("--label-header", help="the label file's header line")
+    arriving.add_argument("--modifiers", help="CSV of negators and boosters")
+    arriving.add_argument("--max-words", type=int, default=MAX_ROWS, help="lexicon rows sent with tasks")
+
+    cluster = commands.add_parser("cluster", help="enriched table to files that filters can skip")
+    for name in ("posts", "output"):
+        cluster.add_argument(name)
+    cluster.add_argument("files", type=int)
+    cluster.add_argument("--fmt", choices=("parquet", "json"), default="parquet")
+
+    tiles = commands.add_parser("tiles", help="enriched table to a pyramid of map tiles")
+    for name in ("posts", "output"):
+        tiles.add_argument(name)
+    tiles.add_argument("--fmt", choices=("parquet", "json"), default="parquet")
+    tiles.add_argument("--places", action="store_true", help="place points, not exact ones")
+    tiles.add_argument("--deepest", type=int, default=DEEPEST)
+
     arguments = vars(parser.parse_args())
     job = {
         "enrich": jobs.enrichment_job,
         "entities": jobs.entity_job,
         "merge": jobs.merge_job,
         "rollup": jobs.rollup_job,
+        "arriving": jobs.arriving_job,
+        "cluster": jobs.cluster_job,
+        "tiles": jobs.tiles_job,
     }[arguments.pop("job")]
     job(SparkSession.builder.appName("crisis_posts").getOrCreate(), **arguments)
 

@@ -24,7 +24,7 @@ def bin_of(value: Column, low: float, high: float, bins: int) -> Column:
     A null and NaN have none.
     """
     place = F.floor((value - low) / (high - low) * float(bins)).cast("int")
-    return F.when(~F.isnan(value), F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1)))
+    return F.when(value.isNotNull() & ~F.isnan(value), F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1)))
 
 
 def density(

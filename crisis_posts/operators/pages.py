@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from math import isnan
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Row
@@ -44,12 +45,26 @@ def _from(order: Sequence[str], values: tuple) -> Column:
     same: list[Column] = []
     for name, value in zip(order, values, strict=True):
         here = F.col(f"`{name}`")
-        above = here.isNotNull() if value is None else F.coalesce(here > F.lit(value), F.lit(False))
-        after.append(reduce(and_, [*same, above]))
-        same.append(here.eqNullSafe(F.lit(value)))
+        after.append(reduce(and_, [*same, F.coalesce(_above(here, value), F.lit(False))]))
+        same.append(F.isnan(here) if _is_nan(value) else here.eqNullSafe(F.lit(value)))
     found = reduce(or_, [*after, reduce(and_, same)])
+    if values[0] is None or isinstance(values[0], float):
+        return found
     # Follows from the rest; said alone, it is what the scan can use.
-    return found if values[0] is None else (F.col(f"`{order[0]}`") >= F.lit(values[0])) & found
+    return (F.col(f"`{order[0]}`") >= F.lit(values[0])) & found
+
+
+def _above(here: Column, value: object) -> Column:
+    """NaN comes last. It is named, as the bounds that a store keeps of its rows leave NaN out."""
+    if value is None:
+        return here.isNotNull()
+    if _is_nan(value):
+        return F.lit(False)
+    return (here > F.lit(value)) | F.isnan(here) if isinstance(value, float) else here > F.lit(value)
+
+
+def _is_nan(value: object) -> bool:
+    return isinstance(value, float) and isnan(value)
 
 
 def page(

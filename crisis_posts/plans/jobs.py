@@ -1,4 +1,4 @@
-"""The three batch jobs: enrich posts, count their entities, merge counts of many runs.
+"""The batch jobs: enrich posts, count their entities, merge counts, store what queries read.
 
 Each reads its input once and writes with overwrite; a lost task is redone by Spark
 from its input, nothing is kept between stages.
@@ -12,10 +12,13 @@ from pyspark.sql import Column, SparkSession
 from crisis_posts.operators import enrich, mentions
 from crisis_posts.operators.rollup import write_batch
 from crisis_posts.operators.tagger import learn_tagger, tag_names
+from crisis_posts.operators.tiles import DEEPEST, tile_pyramid, write_pyramid
 from crisis_posts.operators.wordtable import MAX_ROWS
 from crisis_posts.sources import labels as label_file
 from crisis_posts.sources import posts as post_files
 from crisis_posts.sources import tables
+from crisis_posts.sources.clustering import write_clustered
+from crisis_posts.streaming.arriving import enrich_arriving
 
 
 def enrichment_job(
@@ -92,6 +95,49 @@ def rollup_job(spark: SparkSession, posts: str, output: str, batch: str, fmt: st
     write_batch(post_files.read_enriched(spark, posts, fmt), output, batch)
 
 
+def arriving_job(
+    spark: SparkSession,
+    posts: str,
+    labels: str,
+    lexicon: str,
+    output: str,
+    max_files: int | None = None,
+    keep_id: bool = False,
+    label_header: str | None = None,
+    max_words: int = MAX_ROWS,
+    modifiers: str | None = None,
+) -> None:
+    """Enrich the post files that have come since the last run, ``max_files`` at a time."""
+    enrich_arriving(
+        post_files.stream_raw_posts(spark, posts, max_files),
+        output,
+        label_file.read_labels(spark, labels, label_header),
+        tables.read_lexicon(spark, lexicon),
+        keep_id=keep_id,
+        max_words=max_words,
+        modifiers=tables.read_modifiers(spark, modifiers) if modifiers else None,
+    )
+
+
+def cluster_job(spark: SparkSession, posts: str, output: str, files: int, fmt: str = "parquet") -> None:
+    """Store enriched posts again, in ``files`` files, so that any filter skips most row groups."""
+    write_clustered(post_files.read_enriched(spark, posts, fmt), output, files)
+
+
+def tiles_job(
+    spark: SparkSession,
+    posts: str,
+    output: str,
+    fmt: str = "parquet",
+    places: bool = False,
+    deepest: int = DEEPEST,
+) -> None:
+    """Store the tile pyramid of the exact points, or of the ``places``."""
+    latitude, longitude = (f"place_{c}" if places else c for c in ("latitude", "longitude"))
+    enriched = post_files.read_enriched(spark, posts, fmt)
+    write_pyramid(tile_pyramid(enriched, latitude, longitude, deepest), output)
+
+
 def merge_job(spark: SparkSession, counts: str, output: str, counts_fmt: str = "json") -> None:
     totals = mentions.merge_counts(tables.read_entity_counts(spark, counts, counts_fmt))
     tables.write_entity_totals(totals, output)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CLUSTERED = ("aidr_label", "place_state", "date", "verified", "possibly_sensitive")
-MOST_BITS = 8
+MOST_BITS = 6
 _KEY_BITS = 62
 # Bytes of a text that its rank looks at: as many as a double counts without error.
 _TEXT_BYTES = 6
@@ -53,13 +53,16 @@ def interleaved(posts: DataFrame, cuts: Mapping[str, Sequence[float]]) -> Column
     """The ranks' bits as one number, highest bits of all columns first. A null ranks lowest.
 
     A column takes as many bits as its cuts can use, so a flag takes its two and leaves the
-    others to columns that have more values.
+    others to columns that have more values; ranks are spread over them, so that a first bit halves.
     """
     widths = {c: (len(known) + 1).bit_length() for c, known in cuts.items()}
     if sum(widths.values()) > _KEY_BITS:
         raise ValueError(f"ranks of {widths} do not fit into {_KEY_BITS} bits")
     key = F.lit(0).cast("long")
-    ranks = {c: _rank(ordinal(posts, c), known) for c, known in cuts.items()}
+    ranks = {
+        c: F.floor(_rank(ordinal(posts, c), known) * 2 ** widths[c] / (len(known) + 2))
+        for c, known in cuts.items()
+    }
     for level in range(max(widths.values(), default=0)):
         for column, width in widths.items():
             if level < width:
@@ -70,7 +73,7 @@ def interleaved(posts: DataFrame, cuts: Mapping[str, Sequence[float]]) -> Column
 
 def _rank(value: Column, cuts: Sequence[float]) -> Column:
     """0 for a null, else 1 and the number of cuts below the value."""
-    below = F.size(F.filter(F.lit(list(cuts) or [0.0]), lambda cut: cut < value)) if cuts else F.lit(0)
+    below = F.size(F.filter(F.lit(list(cuts)), lambda cut: cut < value)) if cuts else F.lit(0)
     return F.when(value.isNull(), 0).otherwise(below + 1).cast("long")
 
 
