@@ -26,12 +26,12 @@ def extract_mentions(
     Names match ``pattern``; their type comes from the gazetteer (the least type where
     an entity has several), else it is ``default_type``.
     """
-    named = posts.filter(F.col(text).isNotNull()).withColumn(
-        "_names", names(F.col(text), pattern)
-    )
-    found = wordtable.with_values(
-        named, text, "_names", _types(gazetteer), "entity", max_rows, "_types"
-    )
+    found = wordtable.Lookup(
+        posts.filter(F.col(text).isNotNull()), text,
+        lambda p: p.withColumn("_names", names(F.col(text), pattern)),
+        lambda p: p.withColumn("_asked", F.col("_names")), _types(gazetteer), "entity", max_rows,
+    )
+    found.add_values("_names", "_types")
     entities = F.zip_with(
         "_names",
         "_types",
@@ -39,7 +39,7 @@ def extract_mentions(
             name.alias("entity"), F.coalesce(kind, F.lit(default_type)).alias("type")
         ),
     )
-    return found.withColumn("entities", entities).drop("_names", "_types")
+    return found.close().withColumn("entities", entities).drop("_names", "_types")
 
 
 def tag_mentions(

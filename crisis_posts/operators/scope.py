@@ -26,6 +26,8 @@ from crisis_posts.operators.sentiment import MEASURES
 
 NEGATION_SCOPE = 3
 NEGATOR, BOOSTER = "negator", "booster"
+# Places of the array that tells which tokens may begin a phrase.
+MAX_SLOTS = 1 << 18
 
 _MEANING = ("polarity", "subjectivity", "negate", "boost")
 
@@ -75,14 +77,15 @@ def with_scoped_sentiment(
     entries may travel with the tasks; it changes no score.
     """
     table = entries(lexicon, modifiers)
-    found = wordtable.with_hits(
-        posts.withColumn("_tokens", tokens(F.col(text))), text, "_tokens", table, "word",
-        max_rows, "_hits",
-    ).withColumn("_possible", _possible_phrases())
-    found = wordtable.with_hits(
-        found.withColumn("_phrases", F.col("_possible.phrase")), text, "_phrases", table, "word",
-        max_rows, "_phrase_hits",
+    found = wordtable.Lookup(
+        posts, text, lambda p: p.withColumn("_tokens", tokens(F.col(text))),
+        lambda p: _with_asked(p, table), table, "word", max_rows,
     )
+    found.add_hits("_tokens", "_hits")
+    found.posts = found.posts.withColumn("_possible", _possible_phrases()).withColumn(
+        "_phrases", F.col("_possible.phrase")
+    )
+    found.add_hits("_phrases", "_phrase_hits")
     last = _folded(F.array_sort(F.concat(_marks(), _words(), _whole_phrases())), scope)
     unhit = F.when(F.col(text).isNotNull(), 0.0)
     scores = {
@@ -90,7 +93,7 @@ def with_scoped_sentiment(
         for m in MEASURES
     }
     return (
-        found.withColumn("_last", last)
+        found.close().withColumn("_last", last)
         .withColumns(scores)
         .drop("_tokens", "_hits", "_possible", "_phrases", "_phrase_hits", "_last")
     )
@@ -99,22 +102,46 @@ def with_scoped_sentiment(
 def _possible_phrases() -> Column:
     """struct(at, words, phrase) for each number of words that a phrase from a token may have."""
 
-    def of_token(hit: Column) -> Column:
-        at = hit["position"]
-        most = F.least(hit["value"]["longest"], F.size("_tokens") - at)
-        lengths = F.when(most > 1, F.sequence(F.lit(2), most)).otherwise(
-            F.array().cast("array<int>")
-        )
-        return F.transform(
-            lengths,
-            lambda n: F.struct(
-                at.alias("at"), n.alias("words"),
-                F.array_join(F.slice("_tokens", at + 1, n), " ").alias("phrase"),
-            ),
-        )
-
     beginning = F.filter("_hits", lambda hit: hit["value"]["longest"].isNotNull())
-    return F.flatten(F.transform(beginning, of_token))
+    return F.flatten(
+        F.transform(beginning, lambda hit: _phrases_at(hit["position"], hit["value"]["longest"]))
+    )
+
+
+def _phrases_at(at: Column, longest: Column) -> Column:
+    most = F.least(longest, F.size("_tokens") - at)
+    lengths = F.when(most > 1, F.sequence(F.lit(2), most)).otherwise(F.array().cast("array<int>"))
+    return F.transform(
+        lengths,
+        lambda n: F.struct(
+            at.alias("at"), n.alias("words"),
+            F.array_join(F.slice("_tokens", at + 1, n), " ").alias("phrase"),
+        ),
+    )
+
+
+def _with_asked(posts: DataFrame, table: DataFrame) -> DataFrame:
+    """Add the tokens, and every phrase that may be looked up once the tokens' values are known.
+
+    How long a phrase may be is told by the slot of its first word: an array of checked size, which
+    may ask for some phrases too many and for none too few.
+    """
+    beginning = table.filter(F.col("value.longest").isNotNull()).select("word", "value.longest")
+    rows = beginning.limit(MAX_SLOTS).count()
+    slots = min(1 << (4 * rows).bit_length(), MAX_SLOTS)
+    longest = wordtable.by_slot(beginning, "word", slots, F.max("longest"), lambda most: most)
+    reach = F.transform(
+        "_tokens",
+        lambda w, i: F.struct(
+            i.alias("at"), F.get("_longest", wordtable.slot_of(w, slots)).alias("longest")
+        ),
+    )
+    begin = F.filter("_reach", lambda x: x["longest"].isNotNull())
+    phrases = F.flatten(F.transform(begin, lambda x: _phrases_at(x["at"], x["longest"])))
+    return (
+        posts.withColumn("_longest", longest).withColumn("_reach", reach).drop("_longest")
+        .withColumn("_asked", F.concat("_tokens", phrases["phrase"]))
+    )
 
 
 def _event(at: Column, words: Column, mark: bool, value: Column | None) -> Column:

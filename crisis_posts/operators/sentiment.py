@@ -26,10 +26,11 @@ def with_lexicon_sentiment(
     """
     folded = lexicon.dropna(subset=list(MEASURES)).withColumn("word", F.lower("word"))
     table = wordtable.unique_words(folded, "word", F.struct(*[F.avg(m).alias(m) for m in MEASURES]))
-    found = wordtable.with_hits(
-        posts.withColumn("_words", words(F.col(text))), text, "_words", table, "word", max_rows,
-        "_hits",
+    found = wordtable.Lookup(
+        posts, text, lambda p: p.withColumn("_words", words(F.col(text))),
+        lambda p: p.withColumn("_asked", F.col("_words")), table, "word", max_rows,
     )
+    found.add_hits("_words", "_hits")
 
     def mean(measure: str) -> Column:
         total = F.aggregate("_hits", F.lit(0.0), lambda sum_, hit: sum_ + hit["value"][measure])
@@ -37,7 +38,7 @@ def with_lexicon_sentiment(
 
     unhit = F.when(F.col(text).isNotNull(), 0.0)
     scores = {f"sentiment_{m}": F.coalesce(mean(m), unhit) for m in MEASURES}
-    return found.withColumns(scores).drop("_words", "_hits")
+    return found.close().withColumns(scores).drop("_words", "_hits")
 
 
 def with_scorer_sentiment(

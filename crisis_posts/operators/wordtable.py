@@ -4,8 +4,8 @@ A table of checked size travels with the tasks as one constant: an array of smal
 maps, a word's slot being its hash, so a look-up does not scan the table. Posts are
 then scored in the task that reads them. A larger table is first cut to the words that occur
 in the posts, which are counted on the map side. Only if those are too many as well is the
-table joined to the exploded words, by whatever join its size asks for. All ways give the same
-arrays. The sizes are counted when the plan is built: one job over the table and, for a large
+table joined to the exploded words, by whatever join its size asks for, and each text gets a
+small map of the words found, which is read in the same way. All ways give the same arrays. The sizes are counted when the plan is built: one job over the table and, for a large
 table only, one over the texts.
 
 The explodes are outer ones: for an inner one the optimizer first tests for empty arrays,
@@ -39,105 +39,99 @@ def rows_if_small(
     return size.rows if size.rows <= max_rows and (size.bytes or 0) <= max_bytes else None
 
 
-def with_values(
-    posts: DataFrame, text: str, words: str, table: DataFrame, word: str, max_rows: int, out: str
-) -> DataFrame:
-    """Add the array ``out``, parallel to the array ``words``: each word's value or null.
+class Lookup:
+    """Posts whose words can be looked up in a table of unique ``word`` and ``value`` columns.
 
-    ``table`` holds unique ``word`` and ``value`` columns; ``words`` comes from the column
-    ``text`` alone.
+    ``derive`` adds columns that come from the column ``text`` alone, ``asked`` adds to these
+    the array ``_asked`` of all words that may be looked up; it is called for a large table only. ``posts``
+    has the derived columns, and ``close`` takes away what the look-up has added.
     """
-    table, rows = _cut(posts, words, table, word, max_rows)
-    if rows is not None:
-        return _with_constant(posts, table, word, rows, out, lambda value: F.transform(words, value))
-    found = _with_joined_hits(posts, text, words, table, word, "_found")
-    # Every position follows as a miss; a hit comes before the miss of its position.
-    kind = found.schema["_found"].dataType.elementType["value"].dataType
-    hits = F.transform("_found", lambda x: F.struct(x["position"], F.lit(0).alias("miss"), x["value"]))
-    misses = F.transform(
-        words,
-        lambda _, i: F.struct(
-            i.alias("position"), F.lit(1).alias("miss"), F.lit(None).cast(kind).alias("value")
-        ),
-    )
-    order = lambda a, b: F.when(a["position"] == b["position"], a["miss"] - b["miss"]).otherwise(
-        a["position"] - b["position"]
-    )
-    both = found.withColumn("_found", F.array_sort(F.concat(hits, misses), order))
-    first = F.filter(
-        "_found",
-        lambda x, i: (i == 0) | (F.get("_found", i - 1)["position"] != x["position"]),
-    )
-    return both.withColumn(out, F.transform(first, lambda x: x["value"])).drop("_found")
-
 
-def with_hits(
-    posts: DataFrame, text: str, words: str, table: DataFrame, word: str, max_rows: int, out: str
-) -> DataFrame:
-    """Add the array ``out`` of struct(position, value): the words the table holds, in order.
-
-    As ``with_values`` without the words that it does not hold.
-    """
-    table, rows = _cut(posts, words, table, word, max_rows)
-    if rows is None:
-        return _with_joined_hits(posts, text, words, table, word, out)
-
-    def hits(value):
-        every = F.transform(
-            words, lambda w, i: F.struct(i.alias("position"), value(w).alias("value"))
+    def __init__(
+        self, posts: DataFrame, text: str, derive: Callable[[DataFrame], DataFrame],
+        asked: Callable[[DataFrame], DataFrame], table: DataFrame, word: str, max_rows: int,
+    ):
+        derived = derive(posts)
+        self._table, self._word = table, word
+        self._rows = rows_if_small(table, word, max_rows)
+        if self._rows is None:
+            if posts.isStreaming:
+                raise ValueError("arriving posts need a word table that may travel with the tasks; raise max_rows")
+            occurring = _words_asked(asked(derived), word).distinct()
+            cut = table.join(occurring, word, "left_semi")
+            self._rows = rows_if_small(cut, word, max_rows)
+            if self._rows is not None:
+                self._table = cut
+        if self._rows is None:
+            derived = _joined(posts, text, derive, asked, table, word)
+        self.posts = derived
+
+    def add(self, out: str, found: Callable[[Callable[[Column], Column]], Column]) -> None:
+        """Add the column ``out``; ``found`` makes it of a function from a word to its value or null."""
+        if self._rows is None:
+            last = F.size("_maps") - 1
+            value = lambda w: F.get("_maps", F.hash(w).bitwiseAND(last))[w]
+            self.posts = self.posts.withColumn(out, found(value))
+            return
+        slots = 1 << (4 * self._rows).bit_length()
+        self.posts = (
+            self.posts.withColumn("_constant", _constant(self._table, self._word, slots))
+            .withColumn(out, found(lambda w: F.get("_constant", slot_of(w, slots))[w]))
+            .drop("_constant")
         )
-        return F.filter(every, lambda x: x["value"].isNotNull())
 
-    return _with_constant(posts, table, word, rows, out, hits)
+    def add_values(self, words: str, out: str) -> None:
+        """Add the array ``out``, parallel to the array ``words``: each word's value or null."""
+        self.add(out, lambda value: F.transform(words, value))
 
+    def add_hits(self, words: str, out: str) -> None:
+        """Add the array ``out`` of struct(position, value): the words the table holds, in order."""
 
-def _cut(
-    posts: DataFrame, words: str, table: DataFrame, word: str, max_rows: int
-) -> tuple[DataFrame, int | None]:
-    """The table, cut to the words that occur if it is large, and its rows if it may travel."""
-    rows = rows_if_small(table, word, max_rows)
-    if rows is not None:
-        return table, rows
-    if posts.isStreaming:
-        raise ValueError("arriving posts need a word table that may travel with the tasks; raise max_rows")
-    occurring = posts.select(F.explode_outer(words).alias(word)).distinct()
-    cut = table.join(occurring, word, "left_semi")
-    rows = rows_if_small(cut, word, max_rows)
-    return (table, None) if rows is None else (cut, rows)
+        def hits(value):
+            every = F.transform(
+                words, lambda w, i: F.struct(i.alias("position"), value(w).alias("value"))
+            )
+            return F.filter(every, lambda x: x["value"].isNotNull())
 
+        self.add(out, hits)
 
-def _with_constant(
-    posts: DataFrame, table: DataFrame, word: str, rows: int, out: str,
-    found: Callable[[Callable[[Column], Column]], Column],
-) -> DataFrame:
-    """For a table of ``rows`` rows that may travel; ``found`` makes the array of a look-up."""
-    slots = 1 << (4 * rows).bit_length()
-    return (
-        posts.withColumn("_maps", _constant(table, word, slots))
-        .withColumn(out, found(lambda w: F.get("_maps", _slot(w, slots))[w]))
-        .drop("_maps")
-    )
+    def close(self) -> DataFrame:
+        return self.posts.drop("_maps")
 
 
-def _with_joined_hits(
-    posts: DataFrame, text: str, words: str, table: DataFrame, word: str, out: str
-) -> DataFrame:
-    """For a table of any size: only the words that it holds are gathered.
+def _joined(
+    posts: DataFrame, text: str, derive: Callable[[DataFrame], DataFrame],
+    asked: Callable[[DataFrame], DataFrame], table: DataFrame, word: str,
+) -> DataFrame:
+    """For a table of any size: the derived posts and ``_maps``, what the table holds of their words.
 
-    Copies of a text fold into one set on the map side, in the order of the words.
+    Each different word of a text is asked for once, and the posts that meet the answers hold the text
+    only: what is derived from it is derived again, as it is far wider. Copies of a text fold into one
+    set on the map side.
     """
     keyed = posts.withColumn("_digest", _digest(text))
-    hits = (
-        keyed.select("_digest", F.posexplode_outer(words).alias("position", word))
-        .join(table, word)
+    answers = (
+        _words_asked(asked(derive(keyed)), word, "_digest").join(table, word)
         .groupBy("_digest")
-        .agg(F.sort_array(F.collect_set(F.struct("position", "value"))).alias(out))
-    )
-    kind = hits.schema[out].dataType
-    return (
-        keyed.join(hits, "_digest", "left")
-        .withColumn(out, F.coalesce(out, F.array().cast(kind)))
-        .drop("_digest")
+        .agg(F.collect_set(F.struct(word, "value")).alias("_answers"))
+    )
+    met = keyed.join(answers, "_digest", "left").withColumn("_maps", _slotted("_answers", word))
+    return derive(met.drop("_digest", "_answers"))
+
+
+def _words_asked(posts: DataFrame, word: str, *columns: str) -> DataFrame:
+    """A row for each different word that a post asks for."""
+    return posts.select(*columns, F.explode_outer(F.array_distinct("_asked")).alias(word))
+
+
+def _slotted(entries: str, word: str) -> Column:
+    """An array of maps, one per slot; about as many slots as entries in a slot."""
+    slots = F.pow(F.lit(2), F.floor(F.log2(F.greatest(F.size(entries), F.lit(1))) / 2)).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), slots - 1),
+        lambda s: F.map_from_entries(
+            F.filter(entries, lambda e: F.hash(e[word]).bitwiseAND(slots - 1) == s)
+        ),
     )
 
 
@@ -146,17 +140,24 @@ def _digest(text: str) -> Column:
     return F.unhex(F.sha2(F.col(text), 256))
 
 
-def _slot(word: Column, slots: int) -> Column:
+def slot_of(word: Column, slots: int) -> Column:
     """The hash of a word cut to ``slots``, a power of two."""
     return F.hash(word).bitwiseAND(F.lit(slots - 1))
 
 
 def _constant(table: DataFrame, word: str, slots: int) -> Column:
     """The whole (small) table as a scalar subquery: an array of maps, one per slot."""
-    filled = table.groupBy(_slot(F.col(word), slots).alias("slot")).agg(
-        F.collect_list(F.struct(word, "value")).alias("entries")
+    return by_slot(
+        table, word, slots, F.collect_list(F.struct(word, "value")), F.map_from_entries
     )
+
+
+def by_slot(
+    table: DataFrame, word: str, slots: int, of_slot: Column, entry: Callable[[Column], Column]
+) -> Column:
+    """A scalar subquery: an array of ``entry`` of each slot's aggregate, null where it has no rows."""
+    filled = table.groupBy(slot_of(F.col(word), slots).alias("slot")).agg(of_slot.alias("of_slot"))
     every = table.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
-    by_slot = F.sort_array(F.collect_list(F.struct("slot", "entries")))
-    maps = F.transform(by_slot, lambda s: F.map_from_entries(s.entries))
-    return every.join(filled, "slot", "left").agg(maps).scalar()
+    in_order = F.sort_array(F.collect_list(F.struct("slot", "of_slot")))
+    array = F.transform(in_order, lambda s: entry(s["of_slot"]))
+    return every.join(filled, "slot", "left").agg(array).scalar()

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from crisis_posts.operators import enrich, mentions, sentiment
+from crisis_posts.operators import enrich, mentions, scope, sentiment
 from crisis_posts.operators.selection import PostQuery
 from crisis_posts.plans import binding
 from crisis_posts.plans.catalog import QUERIES
@@ -187,3 +187,32 @@ def test_hot_name_is_counted_before_the_shuffle(spark):
     assert len(found) == n - n // 3 and set(found.values()) == {1}
     plan = initial_plan(mentions.text_mention_counts(posts, gazetteer))
     assert "partial_count(1)" in plan
+
+
+def _columns_joined(table):
+    """The names and types of the columns that meet in the joins of a plan."""
+    found, nodes = [], [table._jdf.queryExecution().optimizedPlan()]
+    while nodes:
+        node = nodes.pop()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Join":
+            for child in children:
+                out = child.output()
+                own = [out.apply(i) for i in range(out.size())]
+                found.append({a.name(): a.dataType().simpleString() for a in own})
+        nodes += children
+    return found
+
+
+def test_a_joined_look_up_moves_each_text_once_and_none_of_its_words(spark):
+    posts = spark.createDataFrame([(1, "The not of the and in"), (2, None)], "id int, text string")
+    for scored in (
+        scope.with_scoped_sentiment(
+            posts, binding.scoped_lexicon(spark), binding.modifiers(spark), max_rows=0
+        ),
+        sentiment.with_lexicon_sentiment(posts, binding.lexicon(spark), max_rows=0),
+        mentions.extract_mentions(posts, binding.gazetteer(spark), max_rows=0),
+    ):
+        sides = _columns_joined(scored)
+        assert sum("text" in side for side in sides) == 1
+        assert not any(kind == "array<string>" for side in sides for kind in side.values())
