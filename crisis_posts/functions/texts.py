@@ -21,6 +21,8 @@ TOKEN = r"([\p{L}\p{M}]+(?:['’][\p{L}\p{M}]+)*|[.,;:!?])"
 # The same for texts in their own case, with marks that end a sentence kept in one token, and
 # any other character but white space as a token of its own.
 CASED_TOKEN = r"([\p{L}\p{M}]+(?:['’-][\p{L}\p{M}]+)*|[.!?]+|[^\s\p{L}\p{M}])"
+# A word that begins with a capital, at the start of such a token or within one after a mark.
+CAPITAL_WORD = r"(?<![\p{L}\p{M}])(\p{Lu}[\p{L}\p{M}]*(?:['’-][\p{L}\p{M}]+)*)"
 CLAUSE_MARKS = (".", ",", ";", ":", "!", "?")
 
 

@@ -18,11 +18,12 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crisis_posts.functions.texts import CASED_TOKEN
+from crisis_posts.functions.texts import CAPITAL_WORD, CASED_TOKEN
 from crisis_posts.operators import wordtable
 from crisis_posts.operators.mentions import DEFAULT_TYPE
 from crisis_posts.schemas import MENTIONS
@@ -82,6 +83,11 @@ def _tokens(text: str) -> Column:
     return F.regexp_extract_all(F.col(text), F.lit(CASED_TOKEN), F.lit(1))
 
 
+def _capital_words(text: str) -> Column:
+    """All tokens with a capital, and capitals within a token that has none: no other token is made."""
+    return F.regexp_extract_all(F.col(text), F.lit(CAPITAL_WORD), F.lit(1))
+
+
 def _is_capital(token: Column) -> Column:
     return F.coalesce(token.rlike(r"^\p{Lu}"), F.lit(False))
 
@@ -112,49 +118,50 @@ def _marked(posts: DataFrame, gazetteer: DataFrame, types: Sequence[str], text:
     known = wordtable.unique_words(
         gazetteer.withColumn("entity", spelled).filter("entity != ''"), "entity", F.min(kinds)
     )
-    posts = posts.filter(F.col(text).isNotNull()).select(text).withColumn("_tokens", _tokens(text))
-    posts = posts.withColumn(
-        "_open", F.transform("_tokens", lambda w, i: _is_capital(w) & ~_begins_sentence("_tokens", i))
-    ).withColumn("_runs", _runs("_open"))
-    posts = posts.withColumn(
-        "_names",
-        F.transform(
-            "_runs",
-            lambda r: F.array_join(F.slice("_tokens", r["start"] + 1, r["end"] - r["start"] + 1), " "),
-        ),
-    )
-    posts = wordtable.with_values(posts, text, "_names", known, "entity", max_rows, "_whole")
-    posts = wordtable.with_values(posts, text, "_tokens", known, "entity", max_rows, "_single")
-    default = list(types).index(DEFAULT_TYPE) if DEFAULT_TYPE in types else len(types) - 1
 
-    def tag(run: Column, whole: Column, i: Column) -> Column:
-        first, single = i == run["start"], F.get("_single", i)
-        goes_on = ~first & F.when(~first, F.get("_single", i - 1)).isNull()
+    def with_names(posts: DataFrame) -> DataFrame:
+        opens = F.transform("_tokens", lambda w, i: _is_capital(w) & ~_begins_sentence("_tokens", i))
+        inner = F.transform("_runs", lambda r: F.slice("_tokens", r["start"] + 1, r["end"] - r["start"] + 1))
         return (
-            F.when(whole.isNotNull(), 2 * whole + F.when(first, 1).otherwise(2))
-            .when(single.isNotNull(), 2 * single + 1)
-            .when(goes_on, 2 * default + 2)
-            .otherwise(2 * default + 1)
-        )
-
-    inside = F.flatten(
-        F.zip_with(
-            "_runs", "_whole",
-            lambda r, whole: F.transform(
-                F.sequence(r["start"], r["end"]),
-                lambda i: F.struct(i.alias("at"), tag(r, whole, i).alias("tag")),
-            ),
-        )
+            posts.withColumn("_tokens", _tokens(text)).withColumn("_open", opens)
+            .withColumn("_runs", _runs("_open")).withColumn("_inner", inner)
+            .withColumn("_names", F.transform("_inner", lambda words: F.array_join(words, " ")))
+        )
+
+    found = wordtable.Lookup(
+        posts.filter(F.col(text).isNotNull()).select(text), text, with_names,
+        lambda p: p.withColumn("_asked", F.concat("_names", F.flatten("_inner"))),
+        known, "entity", max_rows,
     )
-    numbered = F.transform(
-        "_tokens",
-        lambda w, i: F.struct(
-            i.alias("at"), F.when(~_is_capital(w), _OUTSIDE).cast("int").alias("tag")
-        ),
-    )
-    outside = F.filter(numbered, lambda x: ~F.get("_open", x["at"]))
-    in_order = F.array_sort(F.concat(inside, outside))
-    return posts.withColumn("_tags", F.transform(in_order, lambda x: x["tag"]))
+    found.add_values("_names", "_whole")
+    found.add("_singles", lambda value: F.transform("_inner", lambda words: F.transform(words, value)))
+    posts = found.close()
+    default = list(types).index(DEFAULT_TYPE) if DEFAULT_TYPE in types else len(types) - 1
+
+    def inside(k: Column) -> Column:
+        whole, singles = F.get("_whole", k), F.get("_singles", k)
+
+        def tag(single: Column, j: Column) -> Column:
+            first = j == 0
+            goes_on = ~first & F.when(~first, F.get(singles, j - 1)).isNull()
+            return (
+                F.when(whole.isNotNull(), 2 * whole + F.when(first, 1).otherwise(2))
+                .when(single.isNotNull(), 2 * single + 1)
+                .when(goes_on, 2 * default + 2)
+                .otherwise(2 * default + 1)
+            )
+
+        return F.transform(singles, tag)
+
+    def outside(start: Column, end: Column) -> Column:
+        words = F.slice("_tokens", start + 1, end - start)
+        return F.transform(words, lambda w: F.when(~_is_capital(w), _OUTSIDE).cast("int"))
+
+    # Runs and what lies before each of them, in order; then what follows the last.
+    after = lambda k: F.when(k > 0, F.get("_runs", k - 1)["end"] + 1).otherwise(0)
+    parts = F.transform("_runs", lambda r, k: F.concat(outside(after(k), r["start"]), inside(k)))
+    rest = outside(after(F.size("_runs")), F.size("_tokens"))
+    return posts.withColumn("_tags", F.concat(F.flatten(parts), rest))
 
 
 def learn_tagger(
@@ -202,28 +209,32 @@ def learn_tagger(
 def _counts(marked: DataFrame) -> DataFrame:
     """How often a word has a tag, and how often a tag comes after another (a null word).
 
-    A capital that begins a sentence has no tag, but its word will be asked for.
+    A capital that begins a sentence has no tag, but its word will be asked for. Tokens are counted as
+    they are; what a token is as a word is asked of each different one.
     """
-    numbered = F.zip_with("_tokens", "_tags", lambda w, t: F.struct(w.alias("token"), t.alias("tag")))
-    words = F.transform(
-        F.filter(numbered, lambda x: x["token"].rlike(r"^\p{L}")),
-        lambda x: F.struct(
-            F.lower(x["token"]).alias("word"), F.lit(None).cast("int").alias("before"), x["tag"],
-            _is_capital(x["token"]).alias("capital"),
+    # One longer than the tokens, which leaves a row without a token.
+    before = F.concat(F.array(F.lit(None).cast("int")), "_tags")
+    zipped = F.arrays_zip(
+        F.col("_tokens").alias("token"), before.alias("before"), F.col("_tags").alias("tag")
+    )
+    one = marked.select(F.explode_outer(zipped).alias("x")).select("x.*").filter("token is not null")
+    met = one.groupBy("token", "before", "tag").count()
+    none = F.lit(None)
+    word = F.when(
+        F.col("token").rlike(r"^\p{L}"),
+        F.struct(
+            F.lower("token").alias("word"), none.cast("int").alias("before"), "tag",
+            _is_capital(F.col("token")).alias("capital"), "count",
         ),
     )
-    after = F.slice("_tags", F.lit(2), F.greatest(F.size("_tags"), F.lit(1)))
-    steps = F.transform(
-        F.filter(
-            F.zip_with("_tags", after, lambda a, b: F.struct(a.alias("before"), b.alias("tag"))),
-            lambda x: x["before"].isNotNull() & x["tag"].isNotNull(),
+    step = F.when(
+        F.col("before").isNotNull() & F.col("tag").isNotNull(),
+        F.struct(
+            none.cast("string").alias("word"), "before", "tag", F.lit(False).alias("capital"), "count"
         ),
-        lambda x: F.struct(
-            F.lit(None).cast("string").alias("word"), x["before"], x["tag"], F.lit(False).alias("capital")
-        ),
-    )
-    one = marked.select(F.explode_outer(F.concat(words, steps)).alias("x")).select("x.*")
-    return one.filter("word is not null or before is not null").groupBy(*one.columns).count()
+    )
+    rows = met.select(F.explode_outer(F.array(word, step)).alias("x")).filter("x is not null").select("x.*")
+    return rows.groupBy("word", "before", "tag", "capital").agg(F.sum("count").alias("count"))
 
 
 def tag_names(
@@ -234,11 +245,22 @@ def tag_names(
     A name's words are joined by single spaces. ``max_rows`` words of the tagger may travel with
     the tasks; it changes no name.
     """
-    found = posts.filter(F.col(text).isNotNull()).withColumn("_tokens", _tokens(text))
-    numbered = F.transform("_tokens", lambda w, i: F.struct(i.alias("at"), w.alias("word")))
-    found = found.withColumn("_capitals", F.filter(numbered, lambda x: _is_capital(x["word"])))
-    found = found.withColumn("_words", F.transform("_capitals", lambda x: F.lower(x["word"])))
-    found = wordtable.with_values(found, text, "_words", tagger.words, "word", max_rows, "_counts")
+
+    def with_capitals(posts: DataFrame) -> DataFrame:
+        numbered = F.transform("_tokens", lambda w, i: F.struct(i.alias("at"), w.alias("word")))
+        capitals = F.filter(numbered, lambda x: _is_capital(x["word"]))
+        return (
+            posts.withColumn("_tokens", _tokens(text)).withColumn("_capitals", capitals)
+            .withColumn("_words", F.transform("_capitals", lambda x: F.lower(x["word"])))
+        )
+
+    look_up = wordtable.Lookup(
+        posts.filter(F.col(text).isNotNull()), text, with_capitals,
+        lambda p: p.withColumn("_asked", F.transform(_capital_words(text), F.lower)),
+        tagger.words, "word", max_rows,
+    )
+    look_up.add_values("_words", "_counts")
+    found = look_up.close()
     candidates = F.zip_with(
         "_capitals", "_counts",
         lambda x, counts: F.struct(
@@ -261,38 +283,60 @@ def _decoder(tagger: Tagger):
     """An Arrow function from the capitals of texts to their names."""
     # The workers have no session: they get the numbers only.
     numbers, steps = replace(tagger, words=None), tagger.step_scores()
-    unknown = [tagger.word_score(t, 0) for t in range(len(tagger.totals))]
     within = _thousandths(1, CAPITAL_WITHIN)
-    met: dict[tuple, list[int]] = {}  # tags of runs decoded before
-
-    def scores(x: dict) -> list[int]:
-        counts = x["counts"]
-        out = list(unknown) if counts is None else list(map(numbers.word_score, range(len(counts)), counts))
-        if not x["begins"]:
+    met: dict[tuple, list[int]] = {}  # tags of runs decoded before, by the counts of their words
+    known: list[dict[int, int]] = [{} for _ in steps]  # scores by tag and count
+
+    def score(tag: int, count: int) -> int:
+        own = known[tag]
+        if count not in own:
+            own[count] = numbers.word_score(tag, count)
+        return own[count]
+
+    def scores(counts: Sequence[int], begins: bool) -> list[int]:
+        out = list(map(score, range(len(counts)), counts))
+        if not begins:
             out[_OUTSIDE] += within
         return out
 
-    def names(run: list[dict]) -> list[dict]:
-        words = [x["word"] for x in run]
-        key = (run[0]["begins"], *words)
+    def tags(begins: bool, counts: Sequence[tuple[int, ...]]) -> list[int]:
+        key = (begins, *counts)
         if key not in met:
             if len(met) >= _RUNS_KEPT:
                 met.clear()
-            met[key] = viterbi([scores(x) for x in run], steps)
-        return named(words, numbers.types, met[key])
+            met[key] = viterbi([scores(c, begins and not k) for k, c in enumerate(counts)], steps)
+        return met[key]
+
+    def rows_of(counts: pa.ListArray) -> list[tuple[int, ...]]:
+        """A word that was not counted has no counts, which are zeros."""
+        out = np.zeros((len(counts), len(numbers.totals)), np.int64)
+        out[counts.is_valid().to_numpy(zero_copy_only=False)] = (
+            counts.flatten().to_numpy(zero_copy_only=False).reshape(-1, out.shape[1])
+        )
+        return list(map(tuple, out.tolist()))
 
     def decode(column: pa.Array) -> pa.Array:
-        texts = []
-        for candidates in column.to_pylist():
-            found, run = [], []
-            for x in candidates:
-                if x["first"] and run:
-                    found += names(run)
-                    run = []
-                run.append(x)
-            texts.append(found + names(run) if run else found)
-        kind = pa.list_(pa.struct([("entity", pa.string()), ("type", pa.string())]))
-        return pa.array(texts, kind)
+        flat = column.flatten()
+        words, first, begins = (flat.field(f).to_pylist() for f in ("word", "first", "begins"))
+        counts = rows_of(flat.field("counts"))
+        entities, kinds, ends = [], [], [0]
+        at = 0
+        for size in column.value_lengths().to_pylist():
+            end = at + (size or 0)
+            while at < end:
+                upto = at + 1
+                while upto < end and not first[upto]:
+                    upto += 1
+                run = words[at:upto]
+                for name in named(run, numbers.types, tags(begins[at], counts[at:upto])):
+                    entities.append(name["entity"])
+                    kinds.append(name["type"])
+                at = upto
+            ends.append(len(entities))
+        pairs = pa.StructArray.from_arrays(
+            [pa.array(entities, pa.string()), pa.array(kinds, pa.string())], ["entity", "type"]
+        )
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
 
     return F.arrow_udf(decode, MENTIONS)
 

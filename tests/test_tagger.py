@@ -190,3 +190,21 @@ def test_a_long_run_is_decoded_in_linear_time(spark):
     model = tagger.learn_tagger(posts(spark, TEXTS), gazetteer(spark))
     (row,) = tagger.tag_names(posts(spark, ["x " + "HOUSTON Bay " * 20_000]), model).collect()
     assert sum(len(e.entity.split(" ")) for e in row.entities) <= 40_000
+
+
+def test_every_word_with_a_capital_is_asked_for(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("aB'’-. é́É", k=rng.randint(0, 30))) for _ in range(2000)]
+    table = spark.createDataFrame([(t,) for t in texts], "text string")
+    asked = table.select(tagger._tokens("text").alias("all"), tagger._capital_words("text").alias("asked"))
+    for row in asked.collect():
+        assert {w for w in row.all if w[0] in "BÉ"} <= set(row.asked)
+
+
+def test_a_joined_look_up_moves_no_tokens(spark):
+    texts = ["So Rome and Paris met."]
+    model = tagger.learn_tagger(posts(spark, texts), gazetteer(spark))
+    plan = tagger.tag_names(posts(spark, texts), model, max_rows=0)._jdf.queryExecution()
+    joins = [line for line in plan.executedPlan().toString().split("\n") if "Exchange hashpartitioning" in line]
+    below = plan.optimizedPlan().toString().split("Join LeftOuter")[1]
+    assert joins and "_tokens" not in below.split("Aggregate")[0]
