@@ -155,7 +155,8 @@ def enrich_arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = binding.raw_posts(spark, sf_dir).drop("_corrupt_record")
     for part in (F.col("id") % 2 == 0, F.col("id") % 2 != 0, None):
         if part is not None:
-            raw.filter(part).write.mode("append").json(f"{path}/raw")
+            # Packed: a post's JSON holds its text twice.
+            raw.filter(part).write.mode("append").json(f"{path}/raw", compression="gzip")
         arriving.enrich_arriving(
             stream_raw_posts(spark, f"{path}/raw"),
             f"{path}/enriched",

@@ -120,3 +120,14 @@ def test_jobs_from_the_command_line(spark, tmp_path):
     job("tiles", tmp_path / "out", tmp_path / "tiles", "--places", "--deepest", 3)
     levels = spark.read.parquet(str(tmp_path / "tiles")).groupBy("level").sum("n").collect()
     assert {r[0] for r in levels} == {0, 1, 2, 3} and len({r[1] for r in levels}) == 1
+
+
+def test_the_registered_query_stores_less_than_its_texts(spark, tmp_path, monkeypatch):
+    from crisis_posts.plans import binding, catalog
+
+    folder = "/root/testdata/sf0.001"
+    monkeypatch.setattr(catalog, "new_path", lambda _: str(tmp_path))
+    assert catalog.QUERIES["enrich_arriving"](spark, folder).count()
+    stored = sum(f.stat().st_size for f in (tmp_path / "raw").glob("part-*"))
+    written = binding.raw_posts(spark, folder).selectExpr("sum(length(text))").first()[0]
+    assert 0 < stored < written
