@@ -40,6 +40,8 @@ class Pieces:
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if model.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.special = {i for i in range(size) if special[i]}
+        self.numeral = [str(i) for i in range(size)]
+        self.is_byte = np.array([i in self.byte_of for i in range(size)])
         self.unknown = model.unk_id()
         self.ids = {
             p: i for i, p in enumerate(self.pieces)
@@ -216,9 +218,10 @@ def encoding_digests(documents: DataFrame, path: str) -> DataFrame:
         for doc, text in rows:
             decoded = (text or b"").decode()
             ids = pieces.encode(decoded)
-            joined = ",".join(map(str, ids)).encode()
+            joined = ",".join(map(pieces.numeral.__getitem__, ids)).encode()
+            n_bytes = int(np.count_nonzero(pieces.is_byte[np.frombuffer(ids, np.int32)])) if ids else 0
             yield (
-                doc, len(decoded), len(ids), sum(map(pieces.byte_of.__contains__, ids)),
+                doc, len(decoded), len(ids), n_bytes,
                 hashlib.sha256(joined).hexdigest(), pieces.decode(ids) == decoded,
             )
 
