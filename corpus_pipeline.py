@@ -15,11 +15,12 @@ from crisis_posts.llm import decontaminate, language, ngram_join, pieces, pii
 from crisis_posts.llm.shared import written
 
 
-# What goes to and from Python workers at a time. Texts are wide rows, and the buffers of a batch are
-# pooled by an executor for as long as it lives.
+# What goes to and from Python workers, and what is read from files, at a time. Texts are wide rows, and
+# the buffers of a batch are pooled by an executor for as long as it lives.
 BATCHES = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "1m",
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
 }
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

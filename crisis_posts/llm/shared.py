@@ -14,6 +14,8 @@ from pyspark.sql.types import StructType
 
 
 _ROWS_AT_ONCE = 256
+_BATCH_ROWS = 4096
+_BATCH_BYTES = 1 << 20
 
 
 def scratch_path(spark: SparkSession) -> str:
@@ -41,7 +43,8 @@ def map_rows(
 ) -> DataFrame:
     """Pass each partition's rows, as tuples, through a generator of tuples; strings come as bytes.
 
-    Rows leave in batches of bounded number and size, whatever the generator makes of each.
+    Rows leave in batches of bounded number and size, whatever the generator makes of each. A worker
+    serves many tasks, so what Arrow keeps for a next batch goes back when a partition ends.
     """
     columns = StructType.fromDDL(schema)
 
@@ -60,12 +63,17 @@ def map_rows(
         held, weight = [], 0
         for row in rows(incoming()):
             held.append(row)
-            weight += sum(len(x) for x in row if isinstance(x, (str, bytes, list, np.ndarray)))
-            if len(held) >= 4096 or weight >= 1 << 22:
+            weight += sum(
+                x.nbytes if isinstance(x, np.ndarray) else len(x)
+                for x in row if isinstance(x, (str, bytes, list, np.ndarray))
+            )
+            if len(held) >= _BATCH_ROWS or weight >= _BATCH_BYTES:
                 yield _batch(held, arrow)
                 held, weight = [], 0
         if held:
             yield _batch(held, arrow)
+            held = []
+        pa.default_memory_pool().release_unused()
 
     return table.mapInArrow(run, schema)
 
